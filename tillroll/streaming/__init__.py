@@ -1,0 +1 @@
+"""Empty on purpose: the covered workload is batch only (see README)."""
