@@ -1,0 +1,81 @@
+from pyspark.sql import functions as F
+
+from tillroll.operators import comparison, revenue
+
+SALES = "Country string, ItemCode string, InvoiceNo string, Quantity int, OrderAmount double"
+
+
+def sales(spark, *rows):
+    return spark.createDataFrame(list(rows), SALES)
+
+
+def test_share_uses_rounded_parts(spark):
+    df = sales(spark, ("x", "1", "i", 1, 1.006), ("y", "2", "i", 1, 2.0), ("z", "3", "i", 1, None))
+    got = [tuple(r) for r in revenue.revenue_share(df, "Country", "CA").collect()]
+    assert got == [("y", 2.0, 66.45), ("x", 1.01, 33.55), ("z", None, None)]
+
+
+def test_share_reads_its_input_once(spark, tmp_path):
+    sales(spark, ("x", "1", "i", 1, 1.0)).write.parquet(str(tmp_path / "s"))
+    shares = revenue.revenue_share(spark.read.parquet(str(tmp_path / "s")), "ItemCode", "CA")
+    shares.collect()
+    plan = shares._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan
+
+
+def test_ties_have_a_fixed_order(spark):
+    df = sales(spark, *[(c, "1", "i", 1, 5.0) for c in "dbca"])
+    ranked = revenue.revenue_ranking(df, top=3).collect()
+    assert [r["Country"] for r in ranked] == ["a", "b", "c"]
+    assert [r["Country"] for r in revenue.rows_by(df, "Country").collect()] == list("abcd")
+
+
+def test_running_amounts_over_top_lines(spark):
+    df = sales(spark, *[("x", str(i), "i", 1, float(a)) for i, a in enumerate([1, 5, 5, 9, 2])])
+    got = [tuple(r) for r in revenue.cumulative_top_lines(df, 4)
+           .select("ItemCode", "cum_amount", "cum_pct").orderBy("cum_amount").collect()]
+    assert got == [("3", 9.0, 42.86), ("1", 14.0, 66.67), ("2", 19.0, 90.48), ("4", 21.0, 100.0)]
+    assert revenue.total_of_top_lines(df, 2).first()[0] == 14.0
+
+
+def test_top_k_is_taken_per_task(spark):
+    df = sales(spark, ("x", "1", "i", 1, 1.0))
+    plan = revenue.top_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_order_sizes(spark):
+    df = sales(spark, ("x", "1", "b", 2, 1.0), ("x", "2", "b", 3, 1.0), ("x", "1", "a", 9, 1.0),
+               ("x", "1", "c", 9, 1.0))
+    assert [tuple(r) for r in revenue.order_sizes(df).collect()] == [
+        ("b", 2, 5), ("a", 1, 9), ("c", 1, 9)]
+
+
+def test_second_row(spark):
+    df = sales(spark, *[(c, "1", "i", 1, 1.0) for c in "aabbbc"])
+    assert revenue.nth_row(revenue.rows_by(df, "Country"), 1).first()["Country"] == "a"
+
+
+def test_top_categories_limit(spark):
+    df = spark.createDataFrame([(f"c{i:02d}", True) for i in range(12)] + [("no", False)],
+                               "product_category string, big boolean")
+    assert revenue.top_categories(df, F.col("big")).count() == 10
+    assert revenue.top_categories(df, F.col("big"), top=None).count() == 12
+
+
+def test_country_in_one_version_only(spark):
+    before = sales(spark, ("x", "1", "i", 1, 10.0), ("y", "1", "i", 1, 4.0))
+    after = sales(spark, ("x", "1", "i", 1, 7.5), ("z", "1", "i", 1, 1.0))
+    delta = comparison.revenue_by_country_delta(before, after, label_before="old", label_after="new")
+    assert delta.columns == ["Country", "revenue_old", "revenue_new", "revenue_delta"]
+    assert [tuple(r) for r in delta.collect()] == [
+        ("y", 4.0, None, None), ("z", None, 1.0, None), ("x", 10.0, 7.5, -2.5)]
+    assert tuple(comparison.delta_summary(delta).first()) == (0.0, -2.5)
+    plan = delta.groupBy("Country").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(Country") == 1
+
+
+def test_totals_by_version(spark):
+    some = sales(spark, ("x", "1", "i", 1, 1.0))
+    totals = comparison.total_revenue_by_version({"a": some, "b": some.limit(0)})
+    assert {tuple(r) for r in totals.collect()} == {("a", 1.0), ("b", None)}

@@ -1,0 +1,53 @@
+from conftest import rows_of
+from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
+from pyspark.sql import functions as F
+
+from tillroll.functions.text import space_tokens
+from tillroll.operators import texts
+from tillroll.registry.oracles import ENGLISH_STOP_WORDS
+
+TEXTS = [
+    "RED RETROSPOT CAKE", "set  of 12 The BAGS", " leading blank", "trailing blank  ",
+    "a", "", "   ", "\ttab\tand\nline \n", "Don't  stop", "HEART OF of 3 hearts",
+]
+
+
+def test_words_and_bigrams_equal_the_ml_transformers(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "Description string")
+    ml = Tokenizer(inputCol="Description", outputCol="words").transform(df)
+    ml = StopWordsRemover(
+        inputCol="words", outputCol="words_clean", stopWords=list(texts.stop_words())
+    ).transform(ml)
+    ml = NGram(n=2, inputCol="words_clean", outputCol="bigrams").transform(ml)
+    ours = texts.with_bigrams(texts.with_clean_words(texts.with_words(df)))
+    assert rows_of(ours) == rows_of(ml)
+
+
+def test_null_text(spark):
+    df = spark.createDataFrame([(None,)], "Description string")
+    row = texts.with_bigrams(texts.with_clean_words(texts.with_words(df))).first()
+    assert row["words"] is None and row["bigrams"] is None
+    assert texts.bigram_counts(df).count() == 0
+
+
+def test_space_tokens_keep_empty_ones(spark):
+    df = spark.createDataFrame([(" A  b ",)], "t string")
+    assert df.select(space_tokens(F.col("t"))).first()[0] == ["", "a", "", "b", ""]
+
+
+def test_counts_weigh_repeated_texts(spark):
+    df = spark.createDataFrame(
+        [("red bag",)] * 3 + [("red bag red bag",)] + [("bag",)], "Description string"
+    )
+    got = dict(map(tuple, texts.bigram_counts(df).collect()))
+    assert got == {"red bag": 5, "bag red": 1}
+    assert [tuple(r) for r in texts.top_bigrams(df, top=1).collect()] == [("red bag", 5)]
+
+
+def test_stop_word_lists_agree(spark):
+    assert list(texts.stop_words())[: len(ENGLISH_STOP_WORDS)] == list(ENGLISH_STOP_WORDS)
+
+
+def test_distinct_descriptions(spark):
+    df = spark.createDataFrame([(" b",), ("B ",), ("a",)], "Description string")
+    assert [r[0] for r in texts.distinct_descriptions(df).collect()] == ["A", "B"]

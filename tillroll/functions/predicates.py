@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,24 +9,24 @@ from tillroll.functions.fixed_values import CODE_LENGTH, OUTLIER_INVOICE
 
 
 def present(*names: str) -> Column:
-    return reduce(and_, [F.col(n).isNotNull() for n in names])
+    return F.expr(" AND ".join(f"{n} IS NOT NULL" for n in names))
 
 
 def not_cancelled(invoice: str = "InvoiceNo") -> Column:
-    return ~F.lower(F.col(invoice)).startswith("c")
+    return F.expr(f"NOT startswith(lower({invoice}), 'c')")
 
 
 def not_outlier(invoice: str = "InvoiceNo") -> Column:
-    return F.col(invoice) != F.lit(OUTLIER_INVOICE)
+    return F.expr(f"{invoice} <> '{OUTLIER_INVOICE}'")
 
 
 def article_code(code: str = "StockCode") -> Column:
     """A NULL code is not an article code (the filter drops it)."""
-    return F.length(F.col(code)) == CODE_LENGTH
+    return F.expr(f"length({code}) = {CODE_LENGTH}")
 
 
 def positive(*names: str) -> Column:
-    return reduce(and_, [F.col(n) > 0 for n in names])
+    return F.expr(" AND ".join(f"{n} > 0" for n in names))
 
 
 def survives_delete(predicate: str) -> Column:

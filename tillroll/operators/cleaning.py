@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.casting import as_double, as_int, as_timestamp, replace_columns
+from tillroll.functions.casting import as_double, as_int, as_timestamp
 from tillroll.functions.fixed_values import PROJECTED_COLUMNS, REQUIRED_COLUMNS
 from tillroll.functions.predicates import (
     article_code,
@@ -29,7 +29,9 @@ def typed(df: DataFrame) -> DataFrame:
     Any of the three may be absent: only what is there gets cast.
     """
     casts = {"Quantity": as_int, "UnitPrice": as_double, "InvoiceDate": as_timestamp}
-    return replace_columns(df, **{n: f(df, n) for n, f in casts.items() if n in df.columns})
+    return df.selectExpr(
+        *[f"{casts[c](df, c)} AS {c}" if c in casts else f"`{c}`" for c in df.columns]
+    )
 
 
 def with_order_amount(df: DataFrame) -> DataFrame:

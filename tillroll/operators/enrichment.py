@@ -15,10 +15,11 @@ from tillroll.functions.text import space_tokens
 
 
 def amount_segment(amount: str = "OrderAmount") -> Column:
-    return by_upper_bound(F.col(amount), fixed.AMOUNT_SEGMENTS, fixed.AMOUNT_SEGMENT_ELSE)
+    return by_upper_bound(amount, fixed.AMOUNT_SEGMENTS, fixed.AMOUNT_SEGMENT_ELSE)
 
 
-def customer_segment(customer: Column) -> Column:
+def customer_segment(customer: str = "CustomerID") -> Column:
+    """``customer`` is the number, as SQL text."""
     return by_upper_bound(customer, fixed.CUSTOMER_SEGMENTS, fixed.CUSTOMER_SEGMENT_ELSE)
 
 
@@ -27,35 +28,28 @@ def high_spender(amount: str = "OrderAmount") -> Column:
 
 
 def shopsize_by_quantity(quantity: str = "Quantity") -> Column:
-    return by_upper_bound(
-        F.col(quantity), fixed.QUANTITY_SHOPSIZES, fixed.QUANTITY_SHOPSIZE_ELSE
-    )
+    return by_upper_bound(quantity, fixed.QUANTITY_SHOPSIZES, fixed.QUANTITY_SHOPSIZE_ELSE)
 
 
 def shopsize_by_country(country: str = "Country") -> Column:
-    return by_exact_value(
-        F.col(country), fixed.COUNTRY_SHOPSIZES, fixed.COUNTRY_SHOPSIZE_ELSE
-    )
+    return by_exact_value(country, fixed.COUNTRY_SHOPSIZES, fixed.COUNTRY_SHOPSIZE_ELSE)
 
 
 def continent_by_name_part(country: str = "Country") -> Column:
-    return by_contained_text(F.col(country), fixed.CONTINENT_NEEDLES, fixed.CONTINENT_ELSE)
+    return by_contained_text(country, fixed.CONTINENT_NEEDLES, fixed.CONTINENT_ELSE)
 
 
 def continent_by_country(country: str = "Country") -> Column:
-    return by_exact_value(
-        F.col(country), fixed.COUNTRY_CONTINENTS, fixed.COUNTRY_CONTINENT_ELSE
-    )
+    return by_exact_value(country, fixed.COUNTRY_CONTINENTS, fixed.COUNTRY_CONTINENT_ELSE)
 
 
 def product_category(description: str = "desc_clean") -> Column:
-    return by_contained_text(
-        F.col(description), fixed.CATEGORY_NEEDLES, fixed.CATEGORY_ELSE
-    )
+    """``description`` is lower-case text: a column name or an expression."""
+    return by_contained_text(description, fixed.CATEGORY_NEEDLES, fixed.CATEGORY_ELSE)
 
 
 def normalised_description(description: str = "Description") -> Column:
-    return F.upper(F.trim(F.col(description)))
+    return F.expr(f"upper(trim({description}))")
 
 
 def padded_code(code: str = "ItemCode") -> Column:
@@ -64,18 +58,13 @@ def padded_code(code: str = "ItemCode") -> Column:
 
 
 def _pipeline_columns(df: DataFrame) -> dict[str, Callable[[], Column]]:
-    def lowered() -> Column:
-        return F.lower(F.col("Description"))
-
     return {
-        "desc_clean": lowered,
-        "OrderAmount": lambda: F.col("Quantity") * F.col("UnitPrice"),
+        "desc_clean": lambda: F.lower("Description"),
+        "OrderAmount": lambda: F.expr("Quantity * UnitPrice"),
         "Purchase_segment": lambda: customer_segment(as_int(df, "CustomerID")),
         "Shopsize": shopsize_by_country,
         "Continent": continent_by_country,
-        "product_category": lambda: by_contained_text(
-            lowered(), fixed.CATEGORY_NEEDLES, fixed.CATEGORY_ELSE
-        ),
+        "product_category": lambda: product_category("lower(Description)"),
     }
 
 
@@ -103,13 +92,10 @@ def enrich_transactions(df: DataFrame, rules: str = "pipeline",
         raise ValueError(f"unknown rule set {rules!r}: use 'pipeline' or 'notebook'")
     derived = _RULES[rules](df)
     wanted = list(derived) if only is None else [n for n in derived if n in only]
-    kept = {"StockCode": F.col("StockCode").alias("ItemCode")}
-    if rules == "notebook":
-        kept["Description"] = normalised_description().alias("Description")
-    return df.select(
-        *[kept.get(c, F.col(c)) for c in df.columns],
-        *[derived[n]().alias(n) for n in wanted],
-    )
+    kept = [F.col(c).alias("ItemCode") if c == "StockCode" else c for c in df.columns]
+    if rules == "notebook" and "Description" in df.columns:
+        kept[df.columns.index("Description")] = normalised_description().alias("Description")
+    return df.select(*kept, *[derived[n]().alias(n) for n in wanted])
 
 
 def with_tokens(df: DataFrame) -> DataFrame:

@@ -39,8 +39,11 @@ def bigram_counts(df: DataFrame, text: str = "Description") -> DataFrame:
     """
     texts = df.groupBy(text).agg(F.count(F.lit(1)).alias("lines"))
     taken_apart = with_bigrams(with_clean_words(with_words(texts, text)))
+    # Outer, because for a plain explode the optimizer derives a filter "not
+    # empty" and evaluates the whole text expression once more below the joins.
     return (
-        taken_apart.select(F.explode("bigrams").alias("bigram"), "lines")
+        taken_apart.select(F.explode_outer("bigrams").alias("bigram"), "lines")
+        .where(F.col("bigram").isNotNull())
         .groupBy("bigram")
         .agg(F.sum("lines").alias("count"))
     )

@@ -6,18 +6,19 @@ quantities and zero prices in it.
 
 Only the tables a caller's columns need are read: every line has its order,
 every order its customer and every line its part, so a join that adds no
-wanted column changes nothing.  Orders meet customers first, which keeps the
-wide line table at one exchange on the order key.
+wanted column changes nothing.  Orders meet customers first, so the wide line
+table crosses one exchange on the order key; it does so as the few numbers the
+text is made of, and becomes text after the join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.functions.fixed_values import DATE_FORMAT, RAW_COLUMNS
+from tillroll.functions.labels import quoted
 
 # Country name per nation key, and product words renamed.
 COUNTRIES = (
@@ -32,38 +33,53 @@ PRODUCT_WORDS = (
 )
 
 
-def _line_columns() -> dict[str, Column]:
-    order, part, number = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    returned = (F.col("l_returnflag") == "R") & (number == 1)
-    missing = (number == 7) & (F.col("l_quantity") == 1)
-    price = F.when(part % 211 == 5, F.lit(0.0)).otherwise(
-        (45 + part % 251).cast("double") / 100.0
-    )
-    return {
-        "InvoiceNo": F.concat(
-            F.when(returned, "C").otherwise(""), (order + 536365).cast("string")
-        ),
-        "StockCode": F.concat(
-            F.lpad(part.cast("string"), 5, "0"), F.when(part % 97 == 0, "A").otherwise("")
-        ),
-        "Quantity": F.when(~missing, F.col("l_quantity").cast("int").cast("string")),
-        "UnitPrice": price.cast("string"),
-    }
-
-
-def _order_columns() -> dict[str, Column]:
-    customer = F.col("o_custkey")
-    return {
-        "InvoiceDate": F.date_format("o_orderdate", DATE_FORMAT),
-        "CustomerID": F.when(customer % 13 != 0, ((customer * 7919) % 30000).cast("string")),
-    }
-
-
-def _description() -> Column:
-    name = F.col("p_name")
+def _renamed(name: str) -> str:
     for word, new in PRODUCT_WORDS:
-        name = F.replace(name, F.lit(word), F.lit(new))
-    return F.concat(F.lit(" "), F.upper(name), F.lit(" "))
+        name = f"replace({name}, {quoted(word)}, {quoted(new)})"
+    return name
+
+
+# Raw column -> SQL text over the star-schema columns.
+_TEXT = {
+    "InvoiceNo": "IF(l_returnflag = 'R' AND l_linenumber = 1, 'C', '') "
+    "|| CAST(l_orderkey + 536365 AS STRING)",
+    "StockCode": "lpad(CAST(l_partkey AS STRING), 5, '0') || IF(l_partkey % 97 = 0, 'A', '')",
+    "Description": f"' ' || upper({_renamed('p_name')}) || ' '",
+    "Quantity": "IF(l_linenumber = 7 AND l_quantity = 1, NULL, "
+    "CAST(CAST(l_quantity AS INT) AS STRING))",
+    "InvoiceDate": f"date_format(o_orderdate, '{DATE_FORMAT}')",
+    "UnitPrice": "CAST(IF(l_partkey % 211 = 5, 0D, "
+    "CAST(45 + l_partkey % 251 AS DOUBLE) / 100D) AS STRING)",
+    "CustomerID": "IF(o_custkey % 13 = 0, NULL, CAST((o_custkey * 7919) % 30000 AS STRING))",
+    "Country": f"get(array({', '.join(map(quoted, COUNTRIES))}), c_nationkey)",
+}
+
+# Known types: no pass over file footers to find them.
+_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_name string",
+}
+
+
+_splits: dict[tuple[str, str], int] = {}
+
+
+def _spread(lines: DataFrame, folder: str) -> DataFrame:
+    """Use all cores on an input of fewer splits than cores.
+
+    One small file is one task, and with broadcast joins that task would do
+    all the work.  An input with splits for every core is left as it is.
+    """
+    context = lines.sparkSession.sparkContext
+    key = (context.applicationId, folder)
+    if key not in _splits:
+        _splits[key] = lines.rdd.getNumPartitions()
+    if _splits[key] >= context.defaultParallelism:
+        return lines
+    return lines.repartition(context.defaultParallelism, "l_orderkey", "l_linenumber")
 
 
 def retail_lines(spark: SparkSession, folder: str,
@@ -72,32 +88,15 @@ def retail_lines(spark: SparkSession, folder: str,
     wanted = [c for c in RAW_COLUMNS if c in set(columns)]
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-    line_columns = {n: c for n, c in _line_columns().items() if n in wanted}
-    order_columns = {n: c for n, c in _order_columns().items() if n in wanted}
-    lines = table("lineitem")
-    needs_orders = bool(order_columns) or "Country" in wanted
-    keys = ["l_orderkey"] if needs_orders else []
-    keys += ["l_partkey"] if "Description" in wanted else []
-    lines = lines.select(*keys, *[c.alias(n) for n, c in line_columns.items()])
-
-    if needs_orders:
+    lines = _spread(table("lineitem"), folder)
+    if {"InvoiceDate", "CustomerID", "Country"} & set(wanted):
         orders = table("orders")
         if "Country" in wanted:
-            names = F.array(*[F.lit(c) for c in COUNTRIES])
-            country = F.get(names, F.col("c_nationkey")).alias("Country")
-            homes = table("customer").select(F.col("c_custkey").alias("o_custkey"), country)
+            homes = table("customer").withColumnRenamed("c_custkey", "o_custkey")
             orders = orders.join(homes, "o_custkey")
-        orders = orders.select(
-            F.col("o_orderkey").alias("l_orderkey"),
-            *[c.alias(n) for n, c in order_columns.items()],
-            *(["Country"] if "Country" in wanted else []),
-        )
-        lines = lines.join(orders, "l_orderkey")
+        lines = lines.join(orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
     if "Description" in wanted:
-        parts = table("part").select(
-            F.col("p_partkey").alias("l_partkey"), _description().alias("Description")
-        )
-        lines = lines.join(parts, "l_partkey")
-    return lines.select(*wanted)
+        lines = lines.join(table("part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
+    return lines.selectExpr(*[f"{_TEXT[c]} AS {c}" for c in wanted])
