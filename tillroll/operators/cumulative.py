@@ -40,8 +40,7 @@ def prefix_sums(weights: DataFrame, value: str, weight: str, out: str, *,
     up_to_here = Window.orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    # Reading one row past the limit is enough to know which way to go.
-    if weights.limit(single_task_rows + 1).count() <= single_task_rows:
+    if weights.count() <= single_task_rows:
         return weights.withColumn(out, F.sum(weight).over(up_to_here))
 
     bucketed = _with_bucket(weights, value)
@@ -93,7 +92,7 @@ def running_total(totals: DataFrame, value: str, out: str = "cumulative_contribu
                   single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """``sum(value) OVER (ORDER BY value DESC)`` with the default RANGE frame."""
     table = stored(totals, "totals")
-    if table.limit(single_task_rows + 1).count() <= single_task_rows:
+    if table.count() <= single_task_rows:  # answered by the file footers
         return table.withColumn(out, F.sum(value).over(Window.orderBy(F.col(value).desc())))
     per_value = stored(
         table.groupBy(value).agg(F.sum(value).alias("_weight")), "distinct-values"

@@ -12,6 +12,9 @@ from pyspark.sql import Window
 # the way Catalyst finds best.
 BROADCAST_SAMPLE_ROWS = 100_000
 
+# Hex digits of the hash that rows are counted by.
+_PREFIX = 4
+
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
     """``TABLESAMPLE (n ROWS)``: some n rows, whichever come first."""
@@ -27,32 +30,32 @@ def _row_hash(columns: Sequence[str]) -> Column:
 
 
 def hash_sample(df: DataFrame, n: int, columns: Sequence[str] | None = None, *,
-                plain_rows: int | None = None) -> DataFrame:
+                plain_rows: int = 200_000) -> DataFrame:
     """Exactly ``n`` rows in the order of a hash of their content.
 
     Stands in for an unseeded random order: evenly spread, and the same rows
     on every run, so a retried task cannot change the sample.
 
     A plain sort with a limit sends ``n`` rows from every task into one.  Past
-    ``plain_rows`` rows a threshold on the hash first drops rows that cannot be
-    among the ``n`` smallest, and copies of a row are folded into a count, so
-    that about ``2 n`` rows meet.  If too few rows lie below the threshold it
-    is raised; the result is always that of the plain sort.
+    ``plain_rows`` rows the counts per hash prefix (at most 65,536 of them)
+    tell first below which prefix the ``n`` smallest hashes lie.  Only those
+    rows are sorted, with copies of a row folded into a count, so that few
+    more than ``n`` rows meet.  The result is that of the plain sort.
     """
     keys = list(columns or df.columns)
     order = ["_hash", *keys, *[c for c in df.columns if c not in keys]]
     hashed = df.withColumn("_hash", _row_hash(keys))
-    rows = df.count()
-    wanted = 2 * n + 1000
-    if rows <= (20 * wanted if plain_rows is None else plain_rows):
+    prefix = F.substring("_hash", 1, _PREFIX)
+    counts = sorted(hashed.groupBy(prefix.alias("p")).count().collect())
+    if sum(c["count"] for c in counts) <= plain_rows:
         return hashed.orderBy(*order).limit(n).drop("_hash")
-    share = wanted / rows
-    while share < 1:
-        below = hashed.where(F.col("_hash") < f"{int(share * 16**8):08x}")
-        if below.limit(n).count() >= n:
-            return _first_with_copies(below, order, n).select(*df.columns)
-        share *= 16
-    return _first_with_copies(hashed, order, n).select(*df.columns)
+    reached, last = 0, None
+    for c in counts:
+        reached, last = reached + c["count"], c["p"]
+        if reached >= n:
+            break
+    few = hashed.where(prefix <= F.lit(last))
+    return _first_with_copies(few, order, n).select(*df.columns)
 
 
 def _first_with_copies(hashed: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -76,6 +79,6 @@ def rest_of(df: DataFrame, sample: DataFrame, columns: Sequence[str]) -> DataFra
     is counted; only a small one is sent to every executor.
     """
     partners = sample.select(*columns)
-    if partners.limit(BROADCAST_SAMPLE_ROWS + 1).count() <= BROADCAST_SAMPLE_ROWS:
+    if partners.count() <= BROADCAST_SAMPLE_ROWS:
         partners = F.broadcast(partners)
     return df.join(partners, on=list(columns), how="left_anti")

@@ -80,10 +80,7 @@ class VersionedTable:
         )
 
     def exists(self) -> bool:
-        try:
-            return self._record(None) is not None
-        except AnalysisException:
-            return False
+        return self._last() is not None
 
     def version(self) -> int:
         return self._needed(None)["version"]
@@ -202,7 +199,13 @@ class VersionedTable:
         return found
 
     def _last(self):
-        return self._needed(None) if self.exists() else None
+        """The newest record, or None where there is no table yet."""
+        try:
+            return self._record(None)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def _publish(self, last, operation: str, parameters: dict[str, str],
                  metrics: dict[str, int], schema: T.StructType, checks: dict[str, str],
