@@ -58,7 +58,9 @@ def test_delete_without_rewrite_writes_no_data(spark, table, tmp_path):
 
 def test_changing_predicate_needs_rewrite(spark, table):
     table.overwrite(frame(spark, *[(str(i), "a", "x", 1.0) for i in range(50)]))
-    for predicate in ("rand() < 0.5", "current_date() > date'2020-01-01'"):
+    for predicate in (
+        "rand() < 0.5", "current_date() > date'2020-01-01'", "InvoiceNo IN (SELECT id FROM v)"
+    ):
         with pytest.raises(ValueError, match="rewrite"):
             table.delete_where(predicate)
     table.delete_where("rand(1) < 0.5", rewrite=True)

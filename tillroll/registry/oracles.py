@@ -171,16 +171,11 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT list_filter(string_split_regex(rtrim(lower(Description)), '\\s'),
                                  lambda x: x NOT IN ({_STOP})) AS w FROM retail)"""),
     "delta": (("phase1", "phase4"), """
-        SELECT Country,
-               max(CASE WHEN version = 'v0' THEN r END) AS revenue_v0,
-               max(CASE WHEN version = 'v1' THEN r END) AS revenue_v1,
-               round(max(CASE WHEN version = 'v1' THEN r END)
-                     - max(CASE WHEN version = 'v0' THEN r END), 2) AS revenue_delta
-        FROM (SELECT 'v0' AS version, Country, round(sum(OrderAmount), 2) AS r
-              FROM phase1 GROUP BY Country
-              UNION ALL
-              SELECT 'v1', Country, round(sum(OrderAmount), 2) FROM phase4 GROUP BY Country)
-        GROUP BY Country"""),
+        SELECT coalesce(a.Country, b.Country) AS Country, a.r AS revenue_v0, b.r AS revenue_v1,
+               round(b.r - a.r, 2) AS revenue_delta
+        FROM (SELECT Country, round(sum(OrderAmount), 2) AS r FROM phase1 GROUP BY Country) a
+        FULL JOIN (SELECT Country, round(sum(OrderAmount), 2) AS r FROM phase4 GROUP BY Country) b
+          ON a.Country IS NOT DISTINCT FROM b.Country"""),
 }
 
 
@@ -571,9 +566,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'phase4_v1', round(sum(OrderAmount), 2) FROM phase4""",
         "phase1", "phase4"),
     "v03_delta_summary": with_parts("""
-        SELECT round(sum(CASE WHEN revenue_delta > 0 THEN revenue_delta ELSE 0 END), 2)
+        SELECT round(coalesce(sum(revenue_delta) FILTER (WHERE revenue_delta > 0), 0), 2)
                  AS total_positive_delta,
-               round(sum(CASE WHEN revenue_delta < 0 THEN revenue_delta ELSE 0 END), 2)
+               round(coalesce(sum(revenue_delta) FILTER (WHERE revenue_delta < 0), 0), 2)
                  AS total_negative_delta
         FROM delta""", "delta"),
     "p01_amount_histogram": _HISTOGRAM,

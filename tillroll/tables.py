@@ -39,10 +39,10 @@ _RECORD = (
     "parts ARRAY<STRUCT<path: STRING, schema: STRING, deletes: ARRAY<STRING>>>"
 )
 
-# Functions whose value differs between two evaluations.  A kept predicate is
-# evaluated by every read, so it must not use them.
+# Functions whose value differs between two evaluations, and subqueries.  A kept
+# predicate is evaluated by every read, so it must not use them.
 _CHANGING = re.compile(
-    r"\b(rand|randn|random|uuid|shuffle|now|curdate|current_\w+|localtimestamp|"
+    r"\b(select|rand|randn|random|uuid|shuffle|now|curdate|current_\w+|localtimestamp|"
     r"monotonically_increasing_id|spark_partition_id|input_file_\w+)\b",
     re.IGNORECASE,
 )
@@ -132,7 +132,11 @@ class VersionedTable:
         return counts["row_count"]
 
     def delete_where(self, predicate: str, rewrite: bool = False) -> int:
-        """Remove rows for which ``predicate`` is true; NULL keeps the row."""
+        """Remove rows for which ``predicate`` is true; NULL keeps the row.
+
+        Unless rows are rewritten the predicate may use only columns and
+        built-in functions that always give the same answer.
+        """
         last = self._needed(None)
         current = self._frame(last)
         if not rewrite and _CHANGING.search(predicate):
