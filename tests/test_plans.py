@@ -189,3 +189,23 @@ def test_shared_folder_on_a_cluster_must_be_named(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_folder(Session())
     assert workspace.shared_folder(spark).startswith("/")
+
+
+def test_star_lines_are_spread_only_when_splits_are_few(spark, tmp_path, monkeypatch):
+    from tillroll.sources import star
+
+    folder = str(tmp_path)
+    spark.createDataFrame(
+        [(1, 7, 1, 2.0, "N")],
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+        "l_returnflag string",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+
+    def plan():
+        lines = star.retail_lines(spark, folder, ("InvoiceNo", "UnitPrice"))
+        assert tuple(lines.first()) == ("536366", "0.52")
+        return lines._jdf.queryExecution().executedPlan().toString()
+
+    assert "REPARTITION" in plan()
+    monkeypatch.setitem(star._splits, (spark.sparkContext.applicationId, folder), 10_000)
+    assert "Exchange" not in plan()
