@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import simhash
+from tillroll.llm import quality, simhash, tokens
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,13 @@ def _query(function):
 @_query
 def op1_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_counts(table(spark, folder, "documents"))
+
+
+@_query
+def op5_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
