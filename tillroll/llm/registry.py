@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import quality, simhash, tokens
+from tillroll.llm import quality, simhash, tokens, toxicity
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op5_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query
+def op10_toxicity_severity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.severities(table(spark, folder, "documents"), table(spark, folder, "labels"))
