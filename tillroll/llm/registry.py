@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import quality, simhash, tokens, toxicity
+from tillroll.llm import mixing, quality, sharding, simhash, tokens, toxicity
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,16 @@ def op5_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_toxicity_severity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.severities(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+ORACLES["op8_source_mix"] = mixing.ORACLE
+
+
+@_query
+def op6_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shards_of(table(spark, folder, "documents"))
