@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import mixing, quality, sharding, simhash, tokens, toxicity
+from tillroll.llm import mixing, quality, sharding, simhash, tokens, toxicity, warc
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,11 @@ ORACLES["op8_source_mix"] = mixing.ORACLE
 @_query
 def op6_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shards_of(table(spark, folder, "documents"))
+
+
+@_query
+def op3_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+ORACLES["op3_warc_round_trip"] = warc.ORACLE
