@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import mixing, quality, sharding, simhash, tokens, toxicity, warc
+from tillroll.llm import decontamination, mixing, quality, sharding, simhash, tokens, toxicity, warc
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ def op3_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op3_warc_round_trip"] = warc.ORACLE
+
+
+@_query
+def op9_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.overlaps(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
