@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, mixing, quality, sharding, simhash, tokens, toxicity, warc
+from tillroll.llm import (
+    decontamination,
+    html_text,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    tokens,
+    toxicity,
+    warc,
+)
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +73,8 @@ ORACLES["op3_warc_round_trip"] = warc.ORACLE
 def op9_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.overlaps(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_query
+def op2_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(table(spark, folder, "pages"))
