@@ -11,6 +11,7 @@ from tillroll.llm import (
     html_text,
     mixing,
     quality,
+    repeats,
     sharding,
     simhash,
     tokens,
@@ -78,3 +79,8 @@ def op9_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op2_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.main_text(table(spark, folder, "pages"))
+
+
+@_query
+def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
