@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tillroll.llm import (
     decontamination,
     html_text,
@@ -84,3 +85,12 @@ def op2_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@_query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
