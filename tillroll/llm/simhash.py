@@ -192,22 +192,147 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "doc_id", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, one of each component, with all columns.
+# For ``one_of_each``: word shingles and similarity of near-duplicates, words
+# of a class, and classes of a text that are looked at.
+SIMILAR = 0.8
+SIMILAR_SHINGLE = 5
+CLASS_WORDS = 8
+CLASSES = 8
+
+
+def class_prints(data: bytes) -> list[int]:
+    """Fingerprints of a few classes of a text's different words.
+
+    The words are dealt to classes of about ``CLASS_WORDS`` by hash, and each
+    of the first ``CLASSES`` classes has a fingerprint of its words, told apart by
+    class.  A replaced word changes two classes only, so near copies have most
+    fingerprints in common, while a passage that other texts share leaves no
+    class alike.  The number of classes is a power of two; two roundings make
+    sure that texts of about the same number of words have one in common.
+    """
+    words: set[bytes] = set()
+    for block in word_blocks(data.lower()):
+        words.update(block)
+    if not words:
+        return [0]
+    hashes = np.sort(np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64,
+                                 len(words)))
+    size = np.log2(max(1.0, len(words) / CLASS_WORDS))
+    made = []
+    for level in sorted({int(size), int(size + 0.5)}):
+        group = (hashes >> np.uint64(20)) % np.uint64(1 << level)
+        for g in range(min(CLASSES, 1 << level)):
+            inside = hashes[group == g]
+            if len(inside):
+                made.append(xxhash.xxh64_intdigest(inside.tobytes(), level << 32 | g))
+    return [m - (1 << 64) if m >> 63 else m for m in made]
+
+
+def _shingle_set(data: bytes) -> np.ndarray:
+    parts = list(shingle_hashes(data.lower(), SIMILAR_SHINGLE))
+    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+
+
+def _candidates(keys: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts with a common class, linear in the rows (key, node).
+
+    Each text is paired with the first one of its class and with the next one,
+    in an order of its own for each class: never all pairs of a class.
+    """
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.expr(
+        "min(struct(xxhash64(key, node) AS h, node))").alias("first")).where("n > 1")
+    held = keys.join(shared, "key")
+    star = held.where("node <> first.node").selectExpr("first.node AS a", "node AS b")
+    # Windows over parts of a class, so that a large one is split.
+    chain = held.selectExpr(
+        "key", "node", "xxhash64(key, node) AS h", "pmod(xxhash64(node, key, 7), 1 + n DIV 1000) AS part"
+    ).selectExpr("node AS a", "lead(node) OVER (PARTITION BY key, part ORDER BY h, node) AS b")
+    return (star.union(chain.where("b IS NOT NULL"))
+            .selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct())
+
+
+def similar_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts (node, data) with a common class (key, node) whose
+    sets of ``SIMILAR_SHINGLE``-word shingles have a Jaccard index of ``SIMILAR``."""
+    pairs = stored(_candidates(keys), "candidates")
+    needed = pairs.selectExpr("explode(array(a, b)) AS node").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_shingle_set(x.as_py()).tobytes() for x in batch.column("data")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(made, pa.binary())], names=["node", "shingles"])
+
+    kind = texts.schema["node"].dataType.simpleString()
+    sets = stored(texts.join(needed, "node").select("node", "data").mapInArrow(
+        run, f"node {kind}, shingles binary").dropDuplicates(["node"]), "shingles")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(both >= SIMILAR * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b")], names=["a", "b"]
+            ).filter(pa.array(kept, pa.bool_()))
+
+    joined = (pairs.join(sets.selectExpr("node AS a", "shingles AS x"), "a")
+              .join(sets.selectExpr("node AS b", "shingles AS y"), "b"))
+    return joined.select("a", "b", "x", "y").mapInArrow(check, f"a {kind}, b {kind}")
 
-    The row with the smallest id stays (nulls last; of equal ids the one with
-    the smaller text hash).  Rows of a component are reduced to one in each
-    task before they are shuffled, so a large component is no large group.
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each group of near-duplicates, with all columns.
+
+    A group is what can be reached over links: equal texts, fingerprints within
+    ``MAX_DIFF`` bits, and texts with a five-word similarity of ``SIMILAR`` (a
+    fingerprint of 64 bits alone sees few of these).  The row with the smallest
+    id stays, nulls last, of equal ids the one with the smaller text hash.
+    Rows of equal text are reduced to one in each task before they are shuffled,
+    so many copies are no large group.
     """
+    bounded(docs.sparkSession)
     columns = docs.columns
-    fp, root, row, rank = unused(docs, "fp", "root", "row", "rank")
-    marked = with_fingerprint(docs, text, fp)
-    known = clusters(stored(marked.select(F.col(fp).alias("fp")).distinct(), "fingerprints"))
-    known = stored(known, "roots").selectExpr(f"fp AS {fp}", f"root AS {root}")
-    held = marked.join(known, fp, "left").select(
-        F.coalesce(F.col(root), F.col(fp)).alias(root),
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias(row),
-        F.struct(F.col(doc_id).isNull(), F.col(doc_id),
-                 F.xxhash64(F.col(text))).alias(rank))
-    best = held.groupBy(root).agg(F.min_by(row, rank).alias(row))
-    return best.select(*[F.col(row)[c].alias(c) for c in columns])
+    node = F.md5(utf8(text))
+    rows = docs.select(node.alias("node"), F.col(doc_id).alias("doc_id"), utf8(text).alias("data"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.as_py() for x in batch.column("data")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("doc_id"),
+                 pa.array([fingerprint(t) for t in texts], pa.int64()),
+                 pa.array([class_prints(t) for t in texts], pa.list_(pa.int64()))],
+                names=["node", "doc_id", "fp", "keys"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    prints = rows.mapInArrow(run, f"node string, doc_id {kind}, fp bigint, keys array<bigint>")
+    # A row for each text.
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
+    prints = stored(prints.groupBy("node").agg(
+        F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(rank).alias("rank")),
+        "fingerprints")
+    # Texts with linked fingerprints: each is linked with the first text of its fingerprint,
+    # and these with each other.
+    firsts = stored(prints.groupBy("fp").agg(F.min("node").alias("node")), "firsts")
+    same = prints.join(firsts.withColumnRenamed("node", "b"), "fp").where("node <> b").selectExpr(
+        "node AS a", "b")
+    near = (links(firsts.select("fp"))
+            .join(firsts.selectExpr("fp AS a", "node AS x"), "a")
+            .join(firsts.selectExpr("fp AS b", "node AS y"), "b").selectExpr("x AS a", "y AS b"))
+    similar = similar_texts(rows.select("node", "data"),
+                            prints.selectExpr("explode(keys) AS key", "node").distinct())
+    known = stored(components(same.union(near).union(similar)), "roots")
+    named = prints.select("node", "rank").join(known, "node", "left").withColumn(
+        "root", F.expr("coalesce(root, node)"))
+    best = stored(named.groupBy("root").agg(F.min_by("node", F.struct("rank", "node")).alias("node"))
+                  .select("node"), "kept")
+    key, row, order = unused(docs, "key", "row", "order")
+    folded = docs.select(
+        node.alias(key), F.struct(*[F.col(f"`{c}`") for c in columns]).alias(row),
+        F.struct(F.col(doc_id).isNull(), F.col(doc_id)).alias(order)
+    ).groupBy(key).agg(F.min_by(row, order).alias(row))
+    return folded.join(best.withColumnRenamed("node", key), key, "left_semi").select(
+        *[F.col(row)[c].alias(c) for c in columns])
