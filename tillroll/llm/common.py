@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import re
-from collections.abc import Callable, Iterable, Iterator
+import shutil
+import tempfile
+from collections.abc import Iterator
+from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +25,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bounded(spark: SparkSession) -> SparkSession:
-    """Bound the rows of an Arrow batch in this session, since texts are long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Send the package to the Python workers, once for an application.
+
+    They then need neither an installed copy nor the driver's search path.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        # The driver serves the archive from this place as long as it runs.
+        folder = tempfile.mkdtemp(prefix="tillroll-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(
+            f"{folder}/{package.name}-{context.applicationId}", "zip", package.parent,
+            package.name))
+        _shipped.add(context.applicationId)
     return spark
 
 
+def bounded(spark: SparkSession, rows: int = BATCH_ROWS) -> SparkSession:
+    """Get ready for Python workers: the package is there, and an Arrow batch has
+    few rows, since texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return shipped(spark)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, each with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
@@ -59,29 +84,3 @@ def word_blocks(data: bytes, block: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
         yield data[start:stop.start()].split()
         start = stop.start()
     yield data[start:].split()
-
-
-def per_row(function: Callable[[dict], Iterable[dict]], schema: pa.Schema,
-            rows: int = 2000) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` function that makes any number of rows of each row.
-
-    Output leaves in batches of ``rows``, so one long text with many output
-    rows is not held as a whole.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: list[dict] = []
-        for batch in batches:
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            names = batch.schema.names
-            for i in range(batch.num_rows):
-                row = {n: c[i].as_py() for n, c in zip(names, columns, strict=True)}
-                for out in function(row):
-                    made.append(out)
-                    if len(made) >= rows:
-                        yield pa.RecordBatch.from_pylist(made, schema=schema)
-                        made = []
-        if made:
-            yield pa.RecordBatch.from_pylist(made, schema=schema)
-
-    return run

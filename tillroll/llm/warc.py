@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.workspace import fresh_path, stored
-from tillroll.llm.common import utf8
+from tillroll.llm.common import bounded, utf8
 
 REVISIT_BYTES = 1000
 CHUNK = 256 * 1024
@@ -141,7 +141,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
                 [pa.array([s[i] for s in spans]) for i in range(4)],
                 names=["path", "start", "stop", "records"])
 
-    records.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_ROWS))
+    bounded(records.sparkSession, _ROWS)
     return stored(records.mapInArrow(run, _INDEX), "index")
 
 
@@ -286,7 +286,8 @@ WITH p AS (
   FROM pages),
 g AS (SELECT digest, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY digest)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
-  CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id < top THEN top END AS refers_to
+  CASE WHEN page_id < top OR page_id IS NULL AND top IS NOT NULL THEN 'revisit'
+    ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top OR page_id IS NULL THEN top END AS refers_to
 FROM p LEFT JOIN g USING (digest)
 """
