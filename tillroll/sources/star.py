@@ -1,14 +1,15 @@
 """Invoice lines from an order star schema.
 
-Maps ``lineitem``, ``orders``, ``customer`` and ``part`` to the raw text schema
-of invoice lines, with cancellations, odd codes, missing customers and
-quantities and zero prices in it.
-
-Only the tables a caller's columns need are read: every line has its order,
-every order its customer and every line its part, so a join that adds no
-wanted column changes nothing.  Orders meet customers first, so the wide line
-table crosses one exchange on the order key; it does so as the few numbers the
-text is made of, and becomes text after the join.
+Maps ``lineitem``, ``orders``, ``customer``, ``nation`` and ``part`` to the raw
+text schema of invoice lines, with cancellations, odd codes, missing customers
+and quantities and zero prices in it.
+
+All five tables are joined, whatever columns are wanted: a line without its
+order, customer, nation or part is no invoice line, so the rows do not depend
+on the columns.  Unused columns are still pruned from the scans.  Orders meet
+customers first, so the wide line table crosses one exchange on the order key;
+it does so as the few numbers the text is made of, and becomes text after the
+join.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ _TEXT = {
     "UnitPrice": "CAST(IF(l_partkey % 211 = 5, 0D, "
     "CAST(45 + l_partkey % 251 AS DOUBLE) / 100D) AS STRING)",
     "CustomerID": "IF(o_custkey % 13 = 0, NULL, CAST((o_custkey * 7919) % 30000 AS STRING))",
-    "Country": f"get(array({', '.join(map(quoted, COUNTRIES))}), c_nationkey)",
+    "Country": f"get(array({', '.join(map(quoted, COUNTRIES))}), n_nationkey)",
 }
 
 # Known types: no pass over file footers to find them.
@@ -60,28 +61,11 @@ _SCHEMAS = {
     "l_returnflag string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp",
     "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int",
     "part": "p_partkey bigint, p_name string",
 }
 
 
-_splits: dict[tuple[str, str], int] = {}
-
-
-def _spread(lines: DataFrame, folder: str) -> DataFrame:
-    """Use all cores on an input of fewer splits than cores.
-
-    One small file is one task, and with broadcast joins that task would do
-    all the work.  An input with splits for every core is left as it is.
-    """
-    context = lines.sparkSession.sparkContext
-    key = (context.applicationId, folder)
-    if key not in _splits:
-        _splits[key] = lines.rdd.getNumPartitions()
-    if _splits[key] >= context.defaultParallelism:
-        return lines
-    return lines.repartition(context.defaultParallelism, "l_orderkey", "l_linenumber")
-
-
 def retail_lines(spark: SparkSession, folder: str,
                  columns: Iterable[str] = RAW_COLUMNS) -> DataFrame:
     """The wanted raw columns, in raw order, all text."""
@@ -90,13 +74,15 @@ def retail_lines(spark: SparkSession, folder: str,
     def table(name: str) -> DataFrame:
         return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-    lines = _spread(table("lineitem"), folder)
-    if {"InvoiceDate", "CustomerID", "Country"} & set(wanted):
-        orders = table("orders")
-        if "Country" in wanted:
-            homes = table("customer").withColumnRenamed("c_custkey", "o_custkey")
-            orders = orders.join(homes, "o_custkey")
-        lines = lines.join(orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
-    if "Description" in wanted:
-        lines = lines.join(table("part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
+    def keyed(frame: DataFrame, key: str, name: str) -> DataFrame:
+        return frame.withColumnRenamed(key, name)
+
+    homes = keyed(table("customer"), "c_nationkey", "n_nationkey").join(
+        table("nation"), "n_nationkey")
+    orders = table("orders").join(keyed(homes, "c_custkey", "o_custkey"), "o_custkey")
+    lines = (
+        table("lineitem")
+        .join(keyed(orders, "o_orderkey", "l_orderkey"), "l_orderkey")
+        .join(keyed(table("part"), "p_partkey", "l_partkey"), "l_partkey")
+    )
     return lines.selectExpr(*[f"{_TEXT[c]} AS {c}" for c in wanted])
