@@ -15,20 +15,20 @@ def lines(spark):
     return base.unionByName(copies).repartition(6)
 
 
+@pytest.mark.parametrize("part_rows", [50, 10**6])
 @pytest.mark.parametrize("n", [1, 40, 900, 4000, 20000])
-def test_threshold_gives_the_plain_result(lines, n):
-    plain = sampling.hash_sample(lines, n, plain_rows=10**9)
-    pruned = sampling.hash_sample(lines, n, plain_rows=0)
-    assert pruned.columns == lines.columns
-    assert rows_of(pruned) == rows_of(plain)
-    assert pruned.count() == min(n, 9000)
+def test_sample_is_the_plain_one(lines, n, part_rows, monkeypatch):
+    monkeypatch.setattr(sampling, "_PART_ROWS", part_rows)
+    order = [sampling.row_hash(lines.columns), *lines.columns]
+    got = sampling.hash_sample(lines, n)
+    assert got.columns == lines.columns
+    assert rows_of(got) == rows_of(lines.orderBy(*order).limit(n))
 
 
 def test_copies_inside_the_sample(spark):
     df = spark.createDataFrame([("same",)] * 50 + [("other",)], "v string")
-    got = rows_of(sampling.hash_sample(df, 20, plain_rows=0))
-    assert got == rows_of(sampling.hash_sample(df, 20))
-    assert len(got) == 20
+    assert sampling.hash_sample(df, 20).count() == 20
+    assert sampling.hash_sample(df.limit(0), 20).count() == 0
 
 
 def test_sample_repeats(lines):
@@ -36,7 +36,10 @@ def test_sample_repeats(lines):
 
 
 def test_fraction_and_first_rows(lines):
-    assert sampling.fraction(lines, 0.1, seed=4).count() == sampling.fraction(lines, 0.1, seed=4).count()
+    few = sampling.fraction(lines.where("InvoiceNo <> 'inv17'"), 0.1)
+    assert 450 < few.count() < 750 and rows_of(few) == rows_of(
+        sampling.fraction(lines.where("InvoiceNo <> 'inv17'"), 0.1))
+    assert sampling.fraction(lines, 1.0).count() == 9000 and sampling.fraction(lines, 0.0).count() == 0
     assert sampling.first_rows(lines, 5).count() == 5
 
 
@@ -48,16 +51,3 @@ def test_rest_follows_plain_equality(spark):
     sample = spark.createDataFrame([("x", 1), ("y", None)], REST)
     # Both copies of x leave; y stays although it was sampled.
     assert rows_of(sampling.rest_of(df, sample, ["a", "b"])) == [("y", None), ("z", 2)]
-
-
-def test_large_sample_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "BROADCAST_SAMPLE_ROWS", 1)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = spark.createDataFrame([("x", 1), ("z", 2)], REST)
-        sample = spark.createDataFrame([("x", 1), ("w", 1)], REST)
-        rest = sampling.rest_of(df, sample, ["a", "b"])
-        assert "BroadcastHashJoin" not in rest._jdf.queryExecution().executedPlan().toString()
-        assert rows_of(rest) == [("z", 2)]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -16,10 +16,10 @@ def test_distinct_counts_count_null(spark):
     assert got == {"k": 2, "n": 3}
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantiles_are_exact(spark, limit):
+@pytest.mark.parametrize("rows", [7, 1_000_000])
+def test_quantiles_are_exact(spark, rows):
     values = [float(v) for v in np.random.default_rng(3).integers(0, 90, 997)]
-    row = statistics.exact_summary(amounts(spark, values + [None]), single_task_rows=limit).first()
+    row = statistics.exact_summary(amounts(spark, values + [None]), bucket_rows=rows).first()
     ordered = sorted(values)
     for name, p in statistics.QUARTILES.items():
         assert row[name] == ordered[int(np.ceil(p * len(values))) - 1]
@@ -84,7 +84,7 @@ def test_top_values_limit_before_the_exchange(spark):
     df = spark.createDataFrame([(str(i % 30),) for i in range(300)], "name string")
     top = statistics.top_values(df, ("name",), top=3)
     assert [r["value"] for r in top.orderBy("rank").collect()] == ["0", "1", "10"]
-    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
 def test_counts(spark):
@@ -92,3 +92,29 @@ def test_counts(spark):
     assert statistics.cancelled_count(df).first()[0] == 2
     assert statistics.row_count(df).first()[0] == 4
     assert statistics.column_count(df) == 1
+
+
+def test_sketch_holds_its_promise(spark):
+    values = [float(v) for v in np.random.default_rng(4).integers(0, 5000, 4000)]
+    df = amounts(spark, values)
+    sketch = statistics.approximate_summary(df)
+    assert statistics.sketch_holds(df, sketch).columns == sketch.columns
+    assert statistics.sketch_holds(df, sketch).select("Q1", "median", "Q3").first() == (True,) * 3
+    off = sketch.withColumn("median", F.col("median") + 400)
+    assert statistics.sketch_holds(df, off).select("Q1", "median", "Q3").first() == (True, False, True)
+
+
+def test_profile_scans_its_input_once(spark, tmp_path):
+    rows = [("a", 1, 2.5), ("b", 3, None), ("a", 3, 1e9), (None, 8, 1e9 + 1)]
+    spark.createDataFrame(rows, "k string, n int, x double").write.parquet(str(tmp_path / "t"))
+    got = {r.column_name: r for r in statistics.profile(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert set(got) == {"k", "n", "x"} and got["k"].top_value == "a"
+    assert got["n"].stddev == np.std([1, 3, 3, 8], ddof=1) and got["n"].mean == 3.75
+    assert abs(got["x"].stddev - np.std([2.5, 1e9, 1e9 + 1], ddof=1)) < 1e-3
+
+
+def test_top_values_beyond_a_thousand(spark):
+    df = spark.range(3000).selectExpr("CAST(id % 1500 AS string) AS v")
+    got = statistics.top_values(df, ["v"], top=1200).collect()
+    assert len(got) == 1200 and {r["rows"] for r in got} == {2}
+    assert [r["rank"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(1, 1201))

@@ -1,16 +1,16 @@
 """Running sums over an ordering of the whole data set.
 
 ``sum(x) OVER (ORDER BY x DESC)`` has no partition key, so Spark moves every
-row into one task.  Here one task is used only after counting that the input
-is small.  Beyond that limit the work is spread out:
+row into one task.  Here the work is spread out, in the same way for any size:
 
 1. fold rows with equal values into one row per distinct value (ties share
    their running sum, and a value that fills a third of the rows becomes one
    row before anything is shuffled);
-2. cut the value range at approximate quantiles.  A bucket is a pure function
-   of the value, so a recomputed task lands in the same bucket;
+2. cut the value range at approximate quantiles, so that a bucket has about
+   ``BUCKET_ROWS`` values.  A bucket is a pure function of the value, so a
+   recomputed task lands in the same bucket;
 3. sum within each bucket, and add the totals of the buckets in front of it
-   (at most one row per bucket, hence broadcast).
+   (one row per bucket).
 """
 
 from __future__ import annotations
@@ -23,13 +23,12 @@ from pyspark.sql import Window
 from tillroll.functions.workspace import stored
 from tillroll.operators.revenue import largest_first, revenue_by
 
-SINGLE_TASK_ROWS = 100_000
-_MOST_BUCKETS = 2_000
+BUCKET_ROWS = 500_000
 
 
 def prefix_sums(weights: DataFrame, value: str, weight: str, out: str, *,
                 descending: bool = False,
-                single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Adds ``out``: the sum of ``weight`` over all rows up to this value.
 
     ``weights`` holds one row per distinct ``value`` and must be cheap to read
@@ -37,13 +36,7 @@ def prefix_sums(weights: DataFrame, value: str, weight: str, out: str, *,
     ascending, as in Spark's sort order.
     """
     order = F.col(value).desc() if descending else F.col(value).asc()
-    up_to_here = Window.orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    if weights.count() <= single_task_rows:
-        return weights.withColumn(out, F.sum(weight).over(up_to_here))
-
-    bucketed = _with_bucket(weights, value)
+    bucketed = _with_bucket(weights, value, max(2, -(-weights.count() // bucket_rows)))
     within = Window.partitionBy("_bucket").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -57,7 +50,7 @@ def prefix_sums(weights: DataFrame, value: str, weight: str, out: str, *,
     inside = F.sum(weight).over(within)
     return (
         bucketed.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), "_bucket")
+        .join(offsets, "_bucket")
         .withColumn(
             out,
             F.when(F.col("_inside").isNull(), F.col("_offset"))
@@ -68,10 +61,8 @@ def prefix_sums(weights: DataFrame, value: str, weight: str, out: str, *,
     )
 
 
-def _with_bucket(weights: DataFrame, value: str) -> DataFrame:
+def _with_bucket(weights: DataFrame, value: str, buckets: int) -> DataFrame:
     """``_bucket`` numbers the value range; NULL is -1, NaN the last bucket."""
-    partitions = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(max(partitions, 2), _MOST_BUCKETS)
     numbers = weights.withColumn("_number", F.col(value).cast("double"))
     cuts = numbers.approxQuantile(
         "_number", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)
@@ -89,16 +80,14 @@ def _with_bucket(weights: DataFrame, value: str) -> DataFrame:
 
 
 def running_total(totals: DataFrame, value: str, out: str = "cumulative_contribution", *,
-                  single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``sum(value) OVER (ORDER BY value DESC)`` with the default RANGE frame."""
     table = stored(totals, "totals")
-    if table.count() <= single_task_rows:  # answered by the file footers
-        return table.withColumn(out, F.sum(value).over(Window.orderBy(F.col(value).desc())))
     per_value = stored(
         table.groupBy(value).agg(F.sum(value).alias("_weight")), "distinct-values"
     )
     sums = prefix_sums(
-        per_value, value, "_weight", out, descending=True, single_task_rows=single_task_rows
+        per_value, value, "_weight", out, descending=True, bucket_rows=bucket_rows
     ).select(F.col(value).alias("_value"), out)
     # A value shared by very many rows makes one side of this join heavy; the
     # other side has one row per value, so adaptive skew handling can split it.
@@ -106,10 +95,10 @@ def running_total(totals: DataFrame, value: str, out: str = "cumulative_contribu
 
 
 def contribution_by(gold: DataFrame, key: str, digits: int | None = None, *,
-                    single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                    bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Keys by revenue with the running total, for any number of keys."""
     totals = revenue_by(gold, key, digits=digits)
-    reached = running_total(totals, "total_revenue", single_task_rows=single_task_rows)
+    reached = running_total(totals, "total_revenue", bucket_rows=bucket_rows)
     return largest_first(reached, "total_revenue", key)
 
 

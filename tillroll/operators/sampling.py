@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# The largest sample a split hands to every executor; a larger one is joined
-# the way Catalyst finds best.
-BROADCAST_SAMPLE_ROWS = 100_000
+from tillroll.functions.workspace import stored
 
-# Hex digits of the hash that rows are counted by.
-_PREFIX = 4
+# Rows that one window of the running counts has, about.
+_PART_ROWS = 100_000
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
@@ -21,51 +19,60 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def fraction(df: DataFrame, share: float = 0.1, seed: int | None = None) -> DataFrame:
-    return df.sample(fraction=share, seed=seed)
+def fraction(df: DataFrame, share: float = 0.1, columns: Sequence[str] | None = None) -> DataFrame:
+    """About ``share`` of the rows: those whose content hash lies in that share of
+    the hash range.  The same rows on every run; copies of a row stay together."""
+    return df.where(row_hash(columns or df.columns) < _below(share))
 
 
-def _row_hash(columns: Sequence[str]) -> Column:
+def row_hash(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
 
 
-def hash_sample(df: DataFrame, n: int, columns: Sequence[str] | None = None, *,
-                plain_rows: int = 200_000) -> DataFrame:
+def _below(share: float) -> str:
+    """The hex text that a ``share`` of all hashes is smaller than."""
+    return "g" if share >= 1 else f"{int(share * 2 ** 48):012x}"
+
+
+def hash_sample(df: DataFrame, n: int, columns: Sequence[str] | None = None) -> DataFrame:
     """Exactly ``n`` rows in the order of a hash of their content.
 
     Stands in for an unseeded random order: evenly spread, and the same rows
     on every run, so a retried task cannot change the sample.
 
-    A plain sort with a limit sends ``n`` rows from every task into one.  Past
-    ``plain_rows`` rows the counts per hash prefix (at most 65,536 of them)
-    tell first below which prefix the ``n`` smallest hashes lie.  Only those
-    rows are sorted, with copies of a row folded into a count, so that few
-    more than ``n`` rows meet.  The result is that of the plain sort.
+    The hashed rows are written once.  Hashes are spread evenly, so a share of
+    the range that is a little more than n rows' share holds the n smallest
+    ones; if it does not (copies share a hash), twice the share is looked at.
+    Copies of a row are folded into a count, and running counts over parts of
+    the hash range tell how many of each are taken.
     """
     keys = list(columns or df.columns)
     order = ["_hash", *keys, *[c for c in df.columns if c not in keys]]
-    hashed = df.withColumn("_hash", _row_hash(keys))
-    prefix = F.substring("_hash", 1, _PREFIX)
-    counts = sorted(hashed.groupBy(prefix.alias("p")).count().collect())
-    if sum(c["count"] for c in counts) <= plain_rows:
-        return hashed.orderBy(*order).limit(n).drop("_hash")
-    reached, last = 0, None
-    for c in counts:
-        reached, last = reached + c["count"], c["p"]
-        if reached >= n:
-            break
-    few = hashed.where(prefix <= F.lit(last))
-    return _first_with_copies(few, order, n).select(*df.columns)
-
-
-def _first_with_copies(hashed: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in ``order``, copies folded before the sort."""
-    folded = hashed.groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    first = folded.orderBy(*order).limit(n)  # n distinct rows are enough
-    so_far = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.lit(n) - F.coalesce(F.sum("_copies").over(so_far), F.lit(0))
+    hashed = stored(df.withColumn("_hash", row_hash(keys)), "hashed")
+    share = (n + 8 * n ** 0.5 + 64) / max(hashed.count(), 1)
+    few = hashed.where(F.col("_hash") < _below(share))
+    while share < 1 and few.count() < n:
+        share *= 2
+        few = hashed.where(F.col("_hash") < _below(share))
+    folded = few.groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return _first_with_copies(stored(folded, "folded"), order, n, min(share, 1.0)).select(*df.columns)
+
+
+def _first_with_copies(folded: DataFrame, order: Sequence[str], n: int, share: float) -> DataFrame:
+    """The first ``n`` rows in ``order``, by running counts over parts of the hash range."""
+    parts = max(1, -(-folded.count() // _PART_ROWS))
+    number = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double") / 2 ** 48
+    cut = folded.withColumn("_part", F.floor(number / share * parts))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy("_part").agg(F.sum("_copies").alias("_sum")).select(
+        "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    room = F.lit(n) - F.col("_offset") - F.coalesce(F.col("_inside"), F.lit(0))
     return (
-        first.withColumn("_take", F.least(F.col("_copies"), room))
+        cut.withColumn("_inside", F.sum("_copies").over(inside))
+        .join(offsets, "_part")
+        .withColumn("_take", F.least(F.col("_copies"), room))
         .where(F.col("_take") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_take"))))
     )
@@ -75,10 +82,6 @@ def rest_of(df: DataFrame, sample: DataFrame, columns: Sequence[str]) -> DataFra
     """Rows of ``df`` without a partner in ``sample`` on plain equality.
 
     As with any left anti join: every copy of a sampled row leaves, and a
-    sampled row holding a NULL stays because NULL equals nothing.  The sample
-    is counted; only a small one is sent to every executor.
+    sampled row holding a NULL stays because NULL equals nothing.
     """
-    partners = sample.select(*columns)
-    if partners.count() <= BROADCAST_SAMPLE_ROWS:
-        partners = F.broadcast(partners)
-    return df.join(partners, on=list(columns), how="left_anti")
+    return df.join(sample.select(*columns), on=list(columns), how="left_anti")

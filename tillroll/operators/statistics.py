@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tillroll.functions.workspace import stored
-from tillroll.operators.cumulative import SINGLE_TASK_ROWS, prefix_sums
+from tillroll.operators.cumulative import BUCKET_ROWS, prefix_sums
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -87,13 +88,13 @@ def value_weights(df: DataFrame, column: str) -> DataFrame:
 
 
 def quantiles_of(weights: DataFrame, column: str, points: dict[str, float], *,
-                 single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Exact discrete quantiles: the first value whose cumulative share is p.
 
     Memory per task does not depend on the wanted accuracy, unlike a sketch.
     """
     reached = prefix_sums(
-        weights, column, "rows", "_reached", single_task_rows=single_task_rows
+        weights, column, "rows", "_reached", bucket_rows=bucket_rows
     )
     total = weights.agg(F.sum("rows").alias("n")).scalar()
     return reached.agg(
@@ -121,11 +122,33 @@ def approximate_summary(df: DataFrame, column: str = "OrderAmount",
     )
 
 
+def sketch_holds(df: DataFrame, summary: DataFrame, column: str = "OrderAmount",
+                 accuracy: int = 10_000) -> DataFrame:
+    """``summary`` of a sketch with a flag for each quartile instead of its value: whether
+    its rank is off by no more than rows / accuracy (and the rounding to 0.1)."""
+    one = summary.select(F.struct(*QUARTILES).alias("s")).scalar()
+    ranks = df.where(F.col(column).isNotNull()).select(column, one.alias("s")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(column) < F.col(f"s.{q}") - 0.051).alias(f"low_{q}") for q in QUARTILES],
+        *[F.count_if(F.col(column) <= F.col(f"s.{q}") + 0.051).alias(f"high_{q}")
+          for q in QUARTILES],
+    )
+    slack = F.col("n") / accuracy + 1
+    flags = [
+        ((F.col(f"low_{q}") <= F.col("n") * p + slack)
+         & (F.col(f"high_{q}") >= F.col("n") * p - slack)).alias(q)
+        for q, p in QUARTILES.items()
+    ]
+    held = ranks.select(F.struct(*flags).alias("held")).scalar()
+    return summary.drop(*QUARTILES).withColumn("held", held).select(
+        *[c for c in summary.columns if c not in QUARTILES], "held.*")
+
+
 def exact_summary(df: DataFrame, column: str = "OrderAmount", *,
-                  single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Same columns with exact quartiles; the input is scanned once."""
     weights = value_weights(df, column)
-    quartiles = quantiles_of(weights, column, QUARTILES, single_task_rows=single_task_rows)
+    quartiles = quantiles_of(weights, column, QUARTILES, bucket_rows=bucket_rows)
     reach = weights.agg(
         F.min(column).alias("min"),
         F.max(column).alias("max"),
@@ -178,8 +201,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column over the full table.
 
     Row, NULL and distinct counts, extremes, the most frequent value and, for
-    numeric columns, mean, standard deviation and exact quartiles.  Two scans:
-    the value counts and the one-row numeric summary.
+    numeric columns, mean, standard deviation and exact quartiles.  The input
+    is scanned once, for the value counts; the rest comes from these.
     """
     names = list(columns or df.columns)
     values = stored(column_values(df, names), "profile-values")
@@ -204,51 +227,40 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
     if not numeric:
         return result
-    return result.join(_numeric_profile(values, df, numeric), "column_name", "left")
-
-
-def _numeric_profile(values: DataFrame, df: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    """Moments and quartiles per numeric column; one row per column."""
-    moments = df.agg(
-        *[f(c).cast("double").alias(f"{n}|{c}") for n, f in _DESCRIBE.items() for c in numeric]
-    )
+    return result.join(_numeric_profile(values, df.schema, numeric), "column_name", "left")
+
+
+def _numeric_profile(values: DataFrame, schema: T.StructType, numeric: Sequence[str]) -> DataFrame:
+    """Moments and quartiles per numeric column, from the value counts alone."""
+    numbers = values.where(F.col("column_name").isin(list(numeric)) & F.col("value").isNotNull())
+    numbers = numbers.select("column_name", F.col("value").cast("double").alias("v"), "rows")
+    means = numbers.groupBy("column_name").agg(
+        F.sum("rows").alias("n"), (F.sum(F.col("v") * F.col("rows")) / F.sum("rows")).alias("mean"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    # Around the mean, so that large values do not cancel out.
+    spread = numbers.join(means.select("column_name", "mean"), "column_name").groupBy(
+        "column_name").agg(F.sum(F.pow(F.col("v") - F.col("mean"), 2) * F.col("rows")).alias("s"))
+    moments = means.join(spread, "column_name").select(
+        "column_name", "mean",
+        F.when(F.col("n") > 1, F.sqrt(F.col("s") / (F.col("n") - 1))).alias("stddev"), "min", "max")
     quartiles = []
     for c in numeric:
         weights = values.where((F.col("column_name") == c) & F.col("value").isNotNull()).select(
-            F.col("value").cast(df.schema[c].dataType).alias(c), "rows"
+            F.col("value").cast(schema[c].dataType).alias(c), "rows"
         )
         one = quantiles_of(weights, c, QUARTILES)
         quartiles.append(
             one.select(F.lit(c).alias("column_name"), *[F.col(q).cast("double").alias(q) for q in QUARTILES])
         )
-    table = quartiles[0]
-    for more in quartiles[1:]:
-        table = table.unionByName(more)
-    stats = moments.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        *[F.col(f"{n}|{c}").alias(n) for n in _DESCRIBE if n != "count"],
-                    )
-                    for c in numeric
-                ]
-            )
-        )
-    )
-    return stats.join(table, "column_name")
+    return moments.join(reduce(DataFrame.unionByName, quartiles), "column_name")
 
 
 def top_values(df: DataFrame, columns: Sequence[str], top: int = 10) -> DataFrame:
-    """The most frequent values per column.
-
-    ``row_number() <= top`` is applied per task before the exchange (window
-    group limit), so a column with very many values does not fill one task.
-    """
-    rank = Window.partitionBy("column_name").orderBy(F.col("rows").desc(), F.col("value"))
-    return (
-        column_values(df, columns)
-        .withColumn("rank", F.row_number().over(rank))
-        .where(F.col("rank") <= top)
-    )
+    """The most frequent values per column, each column by a bounded top-k."""
+    values = stored(column_values(df, columns), "values")
+    rank = Window.orderBy(F.col("rows").desc(), F.col("value"))
+    return reduce(DataFrame.unionByName, [
+        values.where(F.col("column_name") == c).orderBy(F.col("rows").desc(), F.col("value"))
+        .limit(top).withColumn("rank", F.row_number().over(rank))
+        for c in columns
+    ])
