@@ -32,11 +32,10 @@ def test_versions_stay_readable(spark, table):
         table.read(7)
 
 
-@pytest.mark.parametrize("rewrite", [False, True])
-def test_delete_keeps_rows_with_null(spark, table, rewrite):
+def test_delete_keeps_rows_with_null(spark, table):
     df = frame(spark, ("1", "12345"), ("2", "123"), ("3", None), schema="InvoiceNo string, StockCode string")
     table.overwrite(df)
-    assert table.delete_where(NOT_AN_ARTICLE_SQL, rewrite=rewrite) == 1
+    assert table.delete_where(NOT_AN_ARTICLE_SQL) == 1
     assert rows_of(table.read()) == [("1", "12345"), ("3", None)]
 
 
@@ -47,24 +46,56 @@ def test_delete_does_not_reach_later_rows(spark, table):
     assert rows_of(table.read()) == [("1", "b", "x", 5.0)]
 
 
-def test_delete_without_rewrite_writes_no_data(spark, table, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    table.overwrite(frame(spark, ("1", "a", "x", 1.0)))
-    before = sorted(p.name for p in (tmp_path / "t" / "data").iterdir())
-    table.delete_where("OrderAmount > 0")
-    assert sorted(p.name for p in (tmp_path / "t" / "data").iterdir()) == before
+def test_deletes_in_a_row(spark, table):
+    table.overwrite(frame(spark, *[(str(i), "a", "x", float(i)) for i in range(10)]))
+    assert table.delete_each(["OrderAmount < 2", "OrderAmount < 4", "InvoiceNo = '77'",
+                              "OrderAmount = 9"]) == [2, 2, 0, 1]
+    kept = [[r[0] for r in rows_of(table.read(v))] for v in range(5)]
+    assert kept == [list("0123456789"), list("23456789"), list("456789"), list("456789"),
+                    list("45678")]
+    assert table.delete_where("true") == 5 and table.read().count() == 0
+    assert table.read().columns == ["InvoiceNo", "ItemCode", "CustomerID", "OrderAmount"]
+    table.append(frame(spark, ("5", "b", "y", 1.0)))
+    assert table.read().count() == 1
+
+
+def test_a_version_never_changes(spark, table):
+    rows = [(str(i), "now", "x", 1.0) for i in range(200)]
+    table.overwrite(frame(spark, *rows, schema="random string, d string, select string, v double"))
+    for predicate in ("rand() < 0.3", "unix_timestamp() % 2 = 0", "random = '7'", "`select` = 'q'"):
+        deleted = table.delete_where(predicate)
+        left = [rows_of(table.read()) for _ in range(3)]
+        assert left[0] == left[1] == left[2]
+        assert len(left[0]) == table.read(table.version() - 1).count() - deleted
+    table.delete_where("d = 'now'")
     assert table.read().count() == 0
 
 
-def test_changing_predicate_needs_rewrite(spark, table):
-    table.overwrite(frame(spark, *[(str(i), "a", "x", 1.0) for i in range(50)]))
-    for predicate in (
-        "rand() < 0.5", "current_date() > date'2020-01-01'", "InvoiceNo IN (SELECT id FROM v)"
-    ):
-        with pytest.raises(ValueError, match="rewrite"):
-            table.delete_where(predicate)
-    table.delete_where("rand(1) < 0.5", rewrite=True)
-    assert rows_of(table.read()) == rows_of(table.read())
+def test_layout_is_kept(spark, table):
+    schema = "InvoiceNo string, Country string, CustomerID string, ItemCode string"
+    table.overwrite(frame(spark, ("1", "France", "x", "a"), ("2", "Spain", "y", "b"), schema=schema),
+                    partition_cols=("Country",))
+    table.append(frame(spark, ("3", "France", "z", "c"), ("4", None, "z", "d"), schema=schema))
+    table.merge_insert(frame(spark, ("5", "Spain", "w", "e"), schema=schema), MERGE_KEYS)
+    table.delete_where("InvoiceNo = '2'")
+    table.overwrite(table.read().unionByName(frame(spark, ("6", "Italy", "v", "f"), schema=schema)))
+    for version, rows in enumerate((2, 4, 5, 4, 5)):
+        got = table.read(version)
+        assert got.columns == ["InvoiceNo", "Country", "CustomerID", "ItemCode"]
+        assert got.count() == rows
+        plan = got.where("Country = 'France'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(Country" in plan
+    assert rows_of(table.read().where("Country = 'France'")) == [
+        ("1", "France", "x", "a"), ("3", "France", "z", "c")]
+
+
+def test_checks_together(spark, table):
+    table.overwrite(frame(spark, ("1", "a", "x", 1.0)))
+    with pytest.raises(CheckViolation) as caught:
+        table.add_checks({"positive": "OrderAmount > 0", "large": "OrderAmount > 5"})
+    assert caught.value.broken == {"large": 1} and table.version() == 0
+    table.add_checks({"positive": "OrderAmount > 0", "known": "CustomerID IS NOT NULL"})
+    assert table.version() == 2 and set(table.checks()) == {"positive", "known"}
 
 
 def test_merge_keys(spark, table):

@@ -8,6 +8,7 @@ published only if all of them hold, so no layer is scanned just to check it.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +29,8 @@ from tillroll.tables import VersionedTable
 log = logging.getLogger(__name__)
 
 
-def publish_checked(table: VersionedTable, df: DataFrame, scope: str) -> dict:
+def publish_checked(table: VersionedTable, df: DataFrame, scope: str,
+                    partition_cols: Sequence[str] | None = None) -> dict:
     """Write, count the rules of ``scope`` on the way, publish only if they hold."""
     rules = quality.rules_for(scope)
     reports = []
@@ -38,13 +40,19 @@ def publish_checked(table: VersionedTable, df: DataFrame, scope: str) -> dict:
         if not reports[0]["passed"]:
             raise quality.DataQualityError(reports[0])
 
-    table.overwrite(df, gate=quality.violation_counters(rules), accept=accept)
+    table.overwrite(df, gate=quality.violation_counters(rules), accept=accept,
+                    partition_cols=partition_cols)
     return reports[0]
 
 
-def build_layers(spark: SparkSession, raw: str | DataFrame, out: str) -> dict[str, dict]:
+def build_layers(spark: SparkSession, raw: str | DataFrame, out: str, *,
+                 to_gold: Callable[[DataFrame], DataFrame] | None = None,
+                 gold_partition_cols: Sequence[str] | None = None) -> dict[str, dict]:
     """Build the three layers under ``out``; returns the two quality reports.
 
+    ``to_gold`` is applied to silver before it is enriched, for instance to
+    keep positive prices only; ``gold_partition_cols`` lay gold out in directories.
+
     A failed rule raises ``DataQualityError`` before its layer appears; the
     layers before it stay.
     """
@@ -57,7 +65,8 @@ def build_layers(spark: SparkSession, raw: str | DataFrame, out: str) -> dict[st
     log.info("bronze: %s rows", counts["row_count"])
     cleaned = publish_checked(silver, clean_transactions(bronze.read()), "cleaning")
     log.info("silver: %s rows", cleaned["row_count"])
-    enriched = publish_checked(gold, enrich_transactions(silver.read()), "enriched")
+    usable = silver.read() if to_gold is None else to_gold(silver.read())
+    enriched = publish_checked(gold, enrich_transactions(usable), "enriched", gold_partition_cols)
     log.info("gold: %s rows", enriched["row_count"])
     return {"silver": cleaned, "gold": enriched}
 
@@ -79,7 +88,7 @@ def run_analytics(spark: SparkSession, gold_path: str, fmt: str = "versioned",
 def partition_benchmark(spark: SparkSession, gold_path: str, fmt: str = "versioned") -> dict:
     """Rewrite gold by country and continent next to it; time both layouts."""
     gold = read_layer(spark, gold_path, fmt)
-    sibling = f"{gold_path.rstrip('/').rpartition('/')[0]}/gold_partitioned_benchmark"
+    sibling = sibling_of(gold_path, "gold_partitioned_benchmark")
     files = "parquet" if fmt == "versioned" else fmt
     write_layer(gold, sibling, partition_cols=("Country", "Continent"), fmt=files)
     register_views(
@@ -89,6 +98,14 @@ def partition_benchmark(spark: SparkSession, gold_path: str, fmt: str = "version
     return benchmark_layouts(spark)
 
 
+def sibling_of(path: str, name: str) -> str:
+    """The path of ``name`` in the folder that holds ``path``."""
+    parent, slash, own = path.rstrip("/").rpartition("/")
+    if not own or slash and (not parent or parent.endswith("/") or parent.endswith(":")):
+        raise ValueError(f"{path!r} lies in no folder of its own: its sibling would be at the root")
+    return f"{parent}{slash}{name}"
+
+
 def run_pipeline(spark: SparkSession, raw: str, out: str, analytics: bool = False) -> int:
     """0 when every layer was published, 1 otherwise; errors go to the log."""
     try:

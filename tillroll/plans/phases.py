@@ -31,8 +31,7 @@ class Phases:
 
 def purge(table: VersionedTable) -> VersionedTable:
     """Three deletes, three versions: cancellations, the outlier, non-articles."""
-    for predicate in (fixed.CANCELLED_SQL, fixed.OUTLIER_SQL, fixed.NOT_AN_ARTICLE_SQL):
-        table.delete_where(predicate)
+    table.delete_each((fixed.CANCELLED_SQL, fixed.OUTLIER_SQL, fixed.NOT_AN_ARTICLE_SQL))
     return table
 
 
@@ -67,8 +66,7 @@ def build_phases(phases: Phases, raw: DataFrame, *, sample_rows: int = fixed.SAM
 
     phase3 = phases.table("phase3")
     phase3.overwrite(categorised(split_phase2(phase2, sample_rows, sample_keys)))
-    for name, predicate in fixed.TABLE_CHECKS.items():
-        phase3.add_check(name, predicate)
+    phase3.add_checks(fixed.TABLE_CHECKS)
 
     phase4 = phases.table("phase4")
     phase4.overwrite(phase3.read().drop("tokens"))

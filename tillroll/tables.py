@@ -1,18 +1,19 @@
 """Versioned tables on plain Parquet.
 
 A table folder holds ``data/<id>/`` directories, written once and never
-changed, and a ``history/`` of small JSON records, one per version.  A version
-exists from the moment its record is written, which is the last step of every
-commit; data of a commit that failed before that is never read.  One writer at
-a time.
+changed, and a ``history/`` of small JSON records, one per version in a
+directory of its own.  A version exists from the moment its record is written,
+which is the last step of every commit; data of a commit that failed before
+that is never read.  One writer at a time.
 
 What a version costs:
 
 * append and merge write the new rows only;
-* a delete writes nothing: its predicate is kept in the record and applied by
-  every later read as an ordinary filter over the directories that existed at
-  the time (``rewrite=True`` writes the surviving rows instead);
+* a delete writes the surviving rows, so nothing is evaluated again by a read;
+  several deletes in a row share one pass and one copy;
 * checks are counted while the new rows are written, so there is no extra pass.
+
+A table may be partitioned by columns, which all later versions keep.
 """
 
 from __future__ import annotations
@@ -36,17 +37,10 @@ _RECORD = (
     "version BIGINT, timestamp TIMESTAMP, operation STRING, "
     "operationParameters MAP<STRING,STRING>, operationMetrics MAP<STRING,BIGINT>, "
     "schema STRING, checks MAP<STRING,STRING>, "
-    "parts ARRAY<STRUCT<path: STRING, schema: STRING, deletes: ARRAY<STRING>>>"
-)
-
-# Functions whose value differs between two evaluations, and subqueries.  A kept
-# predicate is evaluated by every read, so it must not use them.
-_CHANGING = re.compile(
-    r"\b(select|rand|randn|random|uuid|shuffle|now|curdate|current_\w+|localtimestamp|"
-    r"monotonically_increasing_id|spark_partition_id|input_file_\w+)\b",
-    re.IGNORECASE,
+    "parts ARRAY<STRUCT<path: STRING, schema: STRING>>, partitionColumns ARRAY<STRING>"
 )
 
+_STEP = "_deleted_by"
 
 class CheckViolation(Exception):
     """Rows break a table check; nothing was published."""
@@ -98,20 +92,23 @@ class VersionedTable:
     # -- writing ---------------------------------------------------------
 
     def overwrite(self, df: DataFrame, operation: str = "WRITE",
-                  gate: Iterable[Column] = (), accept=None) -> dict[str, int]:
+                  gate: Iterable[Column] = (), accept=None,
+                  partition_cols: Sequence[str] | None = None) -> dict[str, int]:
         """Replace the content.
 
-        ``gate`` are extra aggregates counted during the write; ``accept`` is
+        ``partition_cols`` lay the rows out in directories, here and in later
+        versions; None keeps the layout of the version before.  ``gate`` are extra aggregates counted during the write; ``accept`` is
         called with all counts and may raise to keep the version back.
         """
         last = self._last()
         checks = dict(last["checks"] or {}) if last else {}
-        part, counts = self._write(df, checks, gate)
+        layout = _layout(last) if partition_cols is None else list(partition_cols)
+        part, counts = self._write(df, checks, gate, layout)
         if accept is not None:
             accept(counts)
         self._publish(
             last, operation, {"mode": "overwrite"}, {"numOutputRows": counts["row_count"]},
-            df.schema, checks, [part],
+            df.schema, checks, [part], layout,
         )
         return counts
 
@@ -123,40 +120,47 @@ class VersionedTable:
         wider = _extended(schema, df.schema)
         fitted = _completed(df, wider)
         checks = dict(last["checks"] or {})
-        part, counts = self._write(fitted, checks)
+        part, counts = self._write(fitted, checks, layout=_layout(last))
         self._publish(
             last, operation, dict(parameters or {"mode": "append"}),
             {"numOutputRows": counts["row_count"]},
-            wider, checks, [*_parts(last), part],
+            wider, checks, [*_parts(last), part], _layout(last),
         )
         return counts["row_count"]
 
-    def delete_where(self, predicate: str, rewrite: bool = False) -> int:
-        """Remove rows for which ``predicate`` is true; NULL keeps the row.
+    def delete_where(self, predicate: str) -> int:
+        """Remove rows for which ``predicate`` is true; NULL keeps the row."""
+        return self.delete_each([predicate])[0]
+
+    def delete_each(self, predicates: Sequence[str]) -> list[int]:
+        """One delete, and one version, for each predicate, in order.
 
-        Unless rows are rewritten the predicate may use only columns and
-        built-in functions that always give the same answer.
+        The rows are read once.  Each is marked with the first predicate that
+        removes it and written once, by mark; a version is the directories of
+        the marks after its own.  A predicate is evaluated here and never again.
         """
         last = self._needed(None)
-        current = self._frame(last)
-        if not rewrite and _CHANGING.search(predicate):
-            raise ValueError("this predicate changes between reads: use rewrite=True")
-        schema = _schema(last["schema"])
+        schema, layout = _schema(last["schema"]), _layout(last)
         checks = dict(last["checks"] or {})
-        if rewrite:
-            before = current.count()
-            part, counts = self._write(current.where(survives_delete(predicate)), {})
-            parts, deleted = [part], before - counts["row_count"]
-        else:
-            deleted = current.agg(F.count_if(F.expr(predicate)).alias("n")).first()["n"]
-            parts = [
-                {**p, "deletes": [*p["deletes"], predicate]} for p in _parts(last)
-            ]
-        self._publish(
-            last, "DELETE", {"predicate": predicate}, {"numDeletedRows": deleted},
-            schema, checks, parts,
-        )
-        return deleted
+        mark = F.lit(len(predicates))
+        for i, predicate in reversed(list(enumerate(predicates))):
+            mark = F.when(F.coalesce(F.expr(predicate), F.lit(False)), F.lit(i)).otherwise(mark)
+        path = f"data/{uuid.uuid4().hex}"
+        seen = Observation(uuid.uuid4().hex)
+        marked = self._frame(last).withColumn(_STEP, mark).observe(
+            seen, *[F.count_if(F.col(_STEP) == i).alias(str(i)) for i in range(len(predicates) + 1)])
+        # What the first delete removes is in the older version only.
+        marked.where(F.col(_STEP) > 0).write.partitionBy(_STEP, *layout).parquet(
+            f"{self.root}/{path}")
+        deleted = [seen.get[str(i)] for i in range(len(predicates) + 1)]
+        parts = [{"path": f"{path}/{_STEP}={i}", "schema": schema.json()} if n else None
+                 for i, n in enumerate(deleted)]
+        for i, predicate in enumerate(predicates):
+            last = self._publish(
+                last, "DELETE", {"predicate": predicate}, {"numDeletedRows": deleted[i]},
+                schema, checks, [p for p in parts[i + 1:] if p], layout,
+            )
+        return deleted[:-1]
 
     def merge_insert(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Insert source rows whose keys the table does not hold.
@@ -174,64 +178,74 @@ class VersionedTable:
 
     def add_check(self, name: str, predicate: str) -> None:
         """Hold every row, present and future, to ``predicate`` being true."""
+        self.add_checks({name: predicate})
+
+    def add_checks(self, predicates: Mapping[str, str]) -> None:
+        """Several checks, counted in one pass over the rows; a version for each."""
         last = self._needed(None)
         checks = dict(last["checks"] or {})
-        if name in checks:
-            raise ValueError(f"the table already has a check {name!r}")
-        _raise_if_broken(self._frame(last).agg(*check_counters({name: predicate})).first().asDict())
-        checks[name] = predicate
-        self._publish(
-            last, "ADD CONSTRAINT", {"name": name, "expr": predicate}, {},
-            _schema(last["schema"]), checks, _parts(last),
-        )
+        for name in predicates:
+            if name in checks:
+                raise ValueError(f"the table already has a check {name!r}")
+        _raise_if_broken(self._frame(last).agg(*check_counters(predicates)).first().asDict())
+        for name, predicate in predicates.items():
+            checks = {**checks, name: predicate}
+            last = self._publish(
+                last, "ADD CONSTRAINT", {"name": name, "expr": predicate}, {},
+                _schema(last["schema"]), checks, _parts(last), _layout(last),
+            )
 
     # -- records ---------------------------------------------------------
 
     def _records(self) -> DataFrame:
         return self.spark.read.schema(_RECORD).json(f"{self.root}/history")
 
-    def _record(self, version: int | None):
-        records = self._records()
-        if version is not None:
-            return records.where(F.col("version") == version).first()
-        return records.orderBy(F.col("version").desc()).first()
+    def _versions(self) -> list[int]:
+        """The versions there are, from the names of their files: no job, no reading."""
+        try:
+            files = self._records().inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return sorted({int(m[1]) for f in files if (m := re.search(r"/version=(\d+)/", f))})
 
     def _needed(self, version: int | None):
-        found = self._record(version)
-        if found is None:
+        versions = self._versions()
+        wanted = (versions[-1] if versions else None) if version is None else version
+        if wanted not in versions:
             raise ValueError(f"{self.root} has no version {version}")
-        return found
+        row = self.spark.read.schema(_RECORD).json(
+            f"{self.root}/history/version={wanted}").first()
+        return {**row.asDict(), "version": wanted}
 
     def _last(self):
         """The newest record, or None where there is no table yet."""
-        try:
-            return self._record(None)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        return self._needed(None) if self._versions() else None
 
     def _publish(self, last, operation: str, parameters: dict[str, str],
                  metrics: dict[str, int], schema: T.StructType, checks: dict[str, str],
-                 parts: list[dict[str, Any]]) -> None:
-        record = (
-            last["version"] + 1 if last else 0,
-            datetime.now(timezone.utc),
-            operation,
-            parameters,
-            metrics,
-            schema.json(),
-            checks,
-            [(p["path"], p["schema"], p["deletes"]) for p in parts],
-        )
-        self.spark.createDataFrame([record], _RECORD).coalesce(1).write.mode("append").json(
-            f"{self.root}/history"
-        )
+                 parts: list[dict[str, Any]], layout: list[str]) -> dict[str, Any]:
+        record = {
+            "version": last["version"] + 1 if last else 0,
+            "timestamp": datetime.now(timezone.utc),
+            "operation": operation,
+            "operationParameters": parameters,
+            "operationMetrics": metrics,
+            "schema": schema.json(),
+            "checks": checks,
+            "parts": parts,
+            "partitionColumns": layout,
+        }
+        self.spark.createDataFrame([record], _RECORD).coalesce(1).write.partitionBy(
+            "version").mode("append").json(f"{self.root}/history")
+        return record
 
     # -- data ------------------------------------------------------------
 
     def _write(self, df: DataFrame, checks: Mapping[str, str],
-               gate: Iterable[Column] = ()) -> tuple[dict[str, Any], dict[str, int]]:
+               gate: Iterable[Column] = (), layout: Sequence[str] = (),
+               ) -> tuple[dict[str, Any], dict[str, int]]:
         """Write rows to a new directory; count rows, checks and gate with it.
 
         The observation is the last step before the write and thus in its
@@ -241,27 +255,24 @@ class VersionedTable:
         seen = Observation(uuid.uuid4().hex)
         df.observe(
             seen, F.count(F.lit(1)).alias("row_count"), *check_counters(checks), *gate
-        ).write.parquet(f"{self.root}/{path}")
+        ).write.partitionBy(*layout).parquet(f"{self.root}/{path}")
         counts = dict(seen.get)
         _raise_if_broken(counts)
-        return {"path": path, "schema": df.schema.json(), "deletes": []}, counts
+        return {"path": path, "schema": df.schema.json()}, counts
 
     def _frame(self, record) -> DataFrame:
-        """Union of the parts; parts alike in schema and deletes share a scan."""
+        """Union of the parts; parts of one schema and no layout share a scan."""
         columns = _schema(record["schema"])
-        alike: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+        alike: dict[tuple[str, str], list[str]] = {}
         for part in _parts(record):
-            alike.setdefault((part["schema"], tuple(part["deletes"])), []).append(
-                f"{self.root}/{part['path']}"
-            )
-        frames = []
-        for (schema, deletes), paths in alike.items():
-            stored = self.spark.read.schema(_schema(schema)).parquet(*paths)
-            frame = _completed(stored, columns)
-            for predicate in deletes:
-                frame = frame.where(survives_delete(predicate))
-            frames.append(frame)
-        return reduce(DataFrame.unionByName, frames)
+            own = part["path"] if _layout(record) else ""
+            alike.setdefault((part["schema"], own), []).append(f"{self.root}/{part['path']}")
+        frames = [
+            _completed(self.spark.read.schema(_schema(schema)).parquet(*paths), columns)
+            for (schema, _), paths in alike.items()
+        ]
+        return reduce(DataFrame.unionByName, frames) if frames else (
+            self.spark.createDataFrame([], columns))
 
 
 def _schema(text: str) -> T.StructType:
@@ -269,10 +280,11 @@ def _schema(text: str) -> T.StructType:
 
 
 def _parts(record) -> list[dict[str, Any]]:
-    return [
-        {"path": p["path"], "schema": p["schema"], "deletes": list(p["deletes"] or [])}
-        for p in record["parts"]
-    ]
+    return [{"path": p["path"], "schema": p["schema"]} for p in record["parts"]]
+
+
+def _layout(record) -> list[str]:
+    return list(record["partitionColumns"] or []) if record else []
 
 
 def _raise_if_broken(counts: Mapping[str, int]) -> None:
