@@ -237,14 +237,25 @@ def _check(name: str) -> str:
     )
 
 
+# Columns of phase 1, and whether they are numbers.
+_PHASE1_COLUMNS = {
+    "InvoiceNo": False, "StockCode": False, "Description": False, "Quantity": True,
+    "InvoiceDate": False, "UnitPrice": True, "CustomerID": False, "Country": False,
+    "OrderAmount": True,
+}
+_PROFILED = (
+    "(SELECT * REPLACE (CAST(round(OrderAmount, 2) AS DECIMAL(18, 2)) AS OrderAmount) FROM phase1)"
+)
+
+
 def _profile_row(column: str, numeric: bool) -> str:
     top = (
-        f"(SELECT {{}} FROM (SELECT CAST({column} AS VARCHAR) AS v, count(*) AS n FROM phase1 "
+        f"(SELECT {{}} FROM (SELECT CAST({column} AS VARCHAR) AS v, count(*) AS n FROM {_PROFILED} "
         f"WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 1))"
     )
     if numeric:
         numbers = (
-            f"round(avg({column}), 6) AS mean, round(stddev_samp({column}), 6) AS stddev, "
+            f"round(avg(CAST({column} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({column} AS DOUBLE)), 6) AS stddev, "
             f"CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max, "
             f"CAST(quantile_disc({column}, 0.25) AS DOUBLE) AS Q1, "
             f"CAST(quantile_disc({column}, 0.5) AS DOUBLE) AS median, "
@@ -258,15 +269,15 @@ def _profile_row(column: str, numeric: bool) -> str:
     return (
         f"SELECT {_text(column)} AS column_name, count(*) AS rows, "
         f"count(*) - count({column}) AS null_rows, count(DISTINCT {column}) AS distinct_values, "
-        f"{top.format('v')} AS top_value, {top.format('n')} AS top_rows, {numbers} FROM phase1"
+        f"{top.format('v')} AS top_value, {top.format('n')} AS top_rows, {numbers} FROM {_PROFILED}"
     )
 
 
 def _top_values(column: str) -> str:
     return (
-        f"SELECT * FROM (SELECT {_text(column)} AS column_name, {column} AS value, "
+        f"SELECT * FROM (SELECT {_text(column)} AS column_name, CAST({column} AS VARCHAR) AS value, "
         f"count(*) AS rows, CAST(row_number() OVER (ORDER BY count(*) DESC, "
-        f"{column} NULLS FIRST) AS INTEGER) AS rank FROM phase1 GROUP BY {column}) "
+        f"CAST({column} AS VARCHAR) NULLS FIRST) AS INTEGER) AS rank FROM {_PROFILED} GROUP BY {column}) "
         f"WHERE rank <= 10"
     )
 
@@ -316,6 +327,7 @@ _HISTOGRAM = with_parts("""
       ON b = bin
     GROUP BY bin, lo, hi""", "phase2")
 
+_ROUNDED = "SELECT * REPLACE (round(OrderAmount, 2) AS OrderAmount) FROM {}"
 _LINE = "InvoiceNo, StockCode, CustomerID, Quantity, UnitPrice"
 _RAW_LINE = "InvoiceNo, StockCode, Quantity, UnitPrice, CustomerID"
 _BY_SEGMENT = _revenue("Purchase_segment", "gold")
@@ -336,11 +348,13 @@ ORACLES: dict[str, str] = {
     "s05_layer_by_path": with_parts(
         "SELECT Country, count(*) AS count FROM silver GROUP BY Country", "silver"),
     "s06_table_by_name": with_parts(_revenue("Country", "phase2"), "phase2"),
-    "s07_version_read": with_parts(
-        "SELECT InvoiceNo, StockCode, CustomerID, Quantity, OrderAmount FROM phase1", "phase1"),
+    "s07_version_read": with_parts(_ROUNDED.format("phase1"), "phase1"),
     "s08_first_rows": with_parts("""
         SELECT least(count(*), 5) AS row_count FROM retail
         UNION ALL SELECT least(count(*), 5000) FROM retail""", "retail"),
+    "s09_fraction_sample": with_parts(f"""
+        SELECT InvoiceNo, round(OrderAmount, 2) AS OrderAmount FROM phase2
+        WHERE {_SAMPLE_HASH} < '199999999999'""", "phase2"),
     "k01_write_layer_partitioned": with_parts(_BY_SEGMENT, "gold"),
     "k02_named_table_overwrite": with_parts("SELECT count(*) AS row_count FROM phase1", "phase1"),
     "k03_partitioned_by_country_continent": with_parts(_revenue("Country", "phase4"), "phase4"),
@@ -351,6 +365,7 @@ ORACLES: dict[str, str] = {
         FROM phase4 GROUP BY Country, Shopsize""", "phase4"),
     "k06_partitioned_copy_one_country": with_parts(
         _revenue("Country", "(SELECT * FROM gold WHERE Country = 'France')"), "gold"),
+    "k06_partitioned_copy_all_countries": with_parts(_revenue("Country", "gold"), "gold"),
     "k07_list_partitions": with_parts("""
         SELECT DISTINCT 'Country=' || Country || '/Continent=' || Continent AS partition
         FROM phase4""", "phase4"),
@@ -359,10 +374,10 @@ ORACLES: dict[str, str] = {
         FROM phase4 GROUP BY Country, Shopsize""", "phase4"),
     "k10_temp_view": with_parts(
         "SELECT Country, count(*) AS lines FROM phase2 GROUP BY Country", "phase2"),
-    "t01_delete_cancelled": with_parts(f"SELECT {_LINE} FROM phase1_v1", "phase1_v1"),
-    "t02_delete_outlier": with_parts(f"SELECT {_LINE} FROM phase1_v2", "phase1_v2"),
-    "t03_delete_non_articles": with_parts(f"SELECT {_LINE} FROM phase1_v3", "phase1_v3"),
-    "t03_delete_rewritten": with_parts(f"SELECT {_LINE} FROM phase1_v3", "phase1_v3"),
+    "t01_delete_cancelled": with_parts(_ROUNDED.format("phase1_v1"), "phase1_v1"),
+    "t02_delete_outlier": with_parts(_ROUNDED.format("phase1_v2"), "phase1_v2"),
+    "t03_delete_non_articles": with_parts(_ROUNDED.format("phase1_v3"), "phase1_v3"),
+    "t03_delete_rewritten": with_parts(_ROUNDED.format("phase1_v3"), "phase1_v3"),
     "t04_merge_insert": with_parts("SELECT * FROM phase4", "phase4"),
     "t05_check_purchase_positive": with_parts(_check("purchase_positive"), "phase3"),
     "t06_check_not_cancelled": with_parts(_check("invoice_not_cancelled"), "phase3"),
@@ -466,7 +481,10 @@ ORACLES: dict[str, str] = {
     "a15_describe": with_parts(_described(("Quantity", "UnitPrice"), "phase1_v3"), "phase1_v3"),
     "a16_order_amount_summary": _SUMMARY,
     "a16_order_amount_summary_distributed": _SUMMARY,
-    "a16_order_amount_summary_sketch": _SUMMARY,
+    "a16_order_amount_summary_sketch": with_parts("""
+        SELECT min(OrderAmount) AS min, max(OrderAmount) AS max, round(avg(OrderAmount), 1) AS avg,
+               true AS Q1, true AS median, true AS Q3
+        FROM phase2""", "phase2"),
     "a17_top_customers": with_parts(
         _revenue("CustomerID", "phase2", "TotalDepense")
         + " ORDER BY TotalDepense DESC, CustomerID LIMIT 10", "phase2"),
@@ -545,15 +563,10 @@ ORACLES: dict[str, str] = {
         FROM gold, (SELECT *, sum(violations) OVER () AS bad FROM ({}))
         GROUP BY name""".format(_rules(fixed.ENRICHED_RULES, "gold")), "gold"),
     "q06_profile": with_parts(
-        " UNION ALL ".join(
-            _profile_row(c, numeric)
-            for c, numeric in (
-                ("CustomerID", False), ("Country", False), ("Quantity", True), ("UnitPrice", True)
-            )
-        ), "phase1"),
-    "q06_top_values": with_parts(
-        " UNION ALL ".join(_top_values(c) for c in ("CustomerID", "Country", "StockCode")),
+        " UNION ALL ".join(_profile_row(c, numeric) for c, numeric in _PHASE1_COLUMNS.items()),
         "phase1"),
+    "q06_top_values": with_parts(
+        " UNION ALL ".join(_top_values(c) for c in _PHASE1_COLUMNS), "phase1"),
     "u01_labelled_revenue": with_parts("""
         SELECT 'v0' AS version, Country, round(sum(OrderAmount), 2) AS total_revenue
         FROM phase1 GROUP BY Country
@@ -572,8 +585,10 @@ ORACLES: dict[str, str] = {
                  AS total_negative_delta
         FROM delta""", "delta"),
     "p01_amount_histogram": _HISTOGRAM,
-    "p02_country_bars": with_parts(
-        "SELECT * FROM by_country ORDER BY CA DESC, Country LIMIT 10", "by_country"),
+    "p02_country_bars": with_parts("""
+        SELECT CAST(row_number() OVER (ORDER BY CA DESC, Country) AS INTEGER) AS bar, Country,
+               round(CA / max(CA) OVER (), 6) AS length
+        FROM by_country ORDER BY bar LIMIT 10""", "by_country"),
     "p03_monthly_line": with_parts(
         "SELECT concat_ws('-', CAST(Year AS VARCHAR), CAST(Month AS VARCHAR)) AS Date, CA "
         "FROM months", "months"),
@@ -583,4 +598,9 @@ ORACLES: dict[str, str] = {
             f"FROM gold GROUP BY {key}"
             for key in ("Country", "product_category", "Continent", "Purchase_segment")
         ), "gold"),
+    "o03_layer_counts": with_parts("""
+        SELECT 'bronze' AS layer, count(*) AS row_count FROM retail
+        UNION ALL SELECT 'silver', count(*) FROM silver
+        UNION ALL SELECT 'gold', count(*) FROM silver WHERE UnitPrice > 0 AND Quantity > 0""",
+        "retail", "silver"),
 }
