@@ -156,7 +156,8 @@ def test_phases_end_to_end(spark, tmp_path):
 
 def test_timing_and_plans(spark):
     spark.range(10).createOrReplaceTempView("ten")
-    timed = performance.time_sql_query(spark, " SELECT * FROM ten ")
+    assert performance.time_sql_query(spark, "SELECT * FROM ten")["action"] == "noop"
+    timed = performance.time_sql_query(spark, " SELECT * FROM ten ", action="collect")
     assert timed["row_count"] == 10 and timed["sql"] == "SELECT * FROM ten"
     assert timed["elapsed_seconds"] > 0
     assert performance.time_sql_query(spark, "SELECT * FROM ten", action="count")["row_count"] == 10
