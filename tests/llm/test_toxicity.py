@@ -22,8 +22,11 @@ def rows_of(n, seed):
         yield i, " ".join(words).capitalize() + ".", toxic
 
 
-def test_thresholds_are_ordered_and_severity_grows():
-    model = toxicity.fit([(toxicity.term_counts(t.encode()), x) for _, t, x in rows_of(600, 1)])
+def test_thresholds_are_ordered_and_severity_grows(spark):
+    rows = list(rows_of(600, 1))
+    model = toxicity.fit_on_labels(
+        spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"),
+        spark.createDataFrame([(i, int(x)) for i, _, x in rows], "doc_id long, toxic int"))
     assert set(model.weights) == {b"vile", b"awful", b"nasty"}
     assert (np.diff(model.thresholds) > 0).all()
     p = model.grades(np.linspace(-5, 30, 50))

@@ -21,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.workspace import stored
 from tillroll.llm.common import bounded, unused, utf8, word_blocks
 
 TOP = 3
 # Labelled rows of each kind that the model is fitted on at most, by id hash.
 FIT_TOXIC = 3_000
 FIT_CLEAN = 6_000
+# Telling terms at most.
+TERMS = 1_000
 # A term tells if its log-likelihood ratio against the clean rows is this high.
 # and at least this share of the best term's.  Terms that only come from a few
 # copied toxic documents stay far below the best ones.
@@ -67,29 +70,29 @@ class Severity:
         return np.diff(full, axis=1)
 
 
-def telling_terms(rows: list[tuple[dict[bytes, int], bool]]) -> list[bytes]:
-    """Terms found in clearly more toxic than clean rows, by the G test."""
-    n_toxic = sum(t for _, t in rows)
-    n_clean = len(rows) - n_toxic
-    toxic: Counter[bytes] = Counter()
-    clean: Counter[bytes] = Counter()
-    for terms, is_toxic in rows:
-        (toxic if is_toxic else clean).update(terms.keys())
-    found = {}
-    for term, a in toxic.items():
-        c = clean[term]
-        if a < MIN_ROWS or a * n_clean <= c * n_toxic:
-            continue
-        share = (a + c) / (n_toxic + n_clean)
-        ratio = 0.0
-        for seen, size in ((a, n_toxic), (c, n_clean)):
-            for count, part in ((seen, share), (size - seen, 1 - share)):
-                if count:
-                    ratio += 2 * count * np.log(count / (size * part))
-        if ratio >= MIN_RATIO:
-            found[term] = ratio
-    best = max(found.values(), default=0.0)
-    return sorted(t for t, ratio in found.items() if ratio >= MIN_SHARE * best)
+def telling_terms(bags: DataFrame) -> list[bytes]:
+    """Terms of stored rows (toxic, terms) found in clearly more toxic than clean
+    rows, by the G test; at most ``TERMS`` of them reach the driver."""
+    n_toxic, n_clean = bags.selectExpr(
+        "count_if(toxic > 0)", "count_if(toxic <= 0)").first()
+    if not n_toxic or not n_clean:
+        return []
+    share = f"((a + c) / {n_toxic + n_clean}D)"
+
+    def part(count: str, expected: str) -> str:
+        return f"IF({count} > 0, {count} * ln({count} / ({expected})), 0D)"
+
+    ratio = " + ".join([
+        part("a", f"{n_toxic} * {share}"), part("c", f"{n_clean} * {share}"),
+        part(f"({n_toxic} - a)", f"{n_toxic} * (1 - {share})"),
+        part(f"({n_clean} - c)", f"{n_clean} * (1 - {share})")])
+    found = (
+        bags.selectExpr("explode(terms) AS term", "toxic > 0 AS bad").groupBy("term")
+        .agg(F.expr("count_if(bad) AS a"), F.expr("count_if(NOT bad) AS c"))
+        .where(f"a >= {MIN_ROWS} AND a * {n_clean} > c * {n_toxic}")
+        .selectExpr("term", f"2 * ({ratio}) AS ratio").where(f"ratio >= {MIN_RATIO}")
+        .orderBy(F.desc("ratio"), "term").limit(TERMS).collect())
+    return sorted(bytes(r.term) for r in found if r.ratio >= MIN_SHARE * found[0].ratio)
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade: np.ndarray,
@@ -132,21 +135,20 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     return parameters[:width], cut
 
 
-def fit(rows: list[tuple[dict[bytes, int], bool]], top: int = TOP) -> Severity | None:
-    """The model from (term counts, toxic) rows; None if no term tells."""
-    terms = telling_terms(rows)
-    if not terms:
-        return None
+def fit(rows: list[tuple[dict[bytes, int], bool]], terms: list[bytes],
+        top: int = TOP) -> Severity | None:
+    """The model from (counts of telling terms, toxic) rows; None if no toxic row has any."""
     place = {t: i for i, t in enumerate(terms)}
     at, column, value, used = [], [], [], []
     for i, (counts, _) in enumerate(rows):
-        inside = [(place[t], n) for t, n in counts.items() if t in place]
-        used.append(sum(n for _, n in inside))
-        for c, n in inside:
+        used.append(sum(counts.values()))
+        for term, n in counts.items():
             at.append(i)
-            column.append(c)
+            column.append(place[term])
             value.append(np.log1p(n))
-    toxic, used = np.array([t for _, t in rows]), np.array(used)
+    toxic, used = np.array([t for _, t in rows], dtype=bool), np.array(used)
+    if not (toxic & (used > 0)).any():
+        return None
     cuts = np.quantile(used[toxic & (used > 0)], np.arange(1, top) / top)
     grade = np.where(toxic, 1 + np.searchsorted(cuts, used, side="left"), 0)
     weights, thresholds = fit_ordinal(np.array(at), np.array(column), np.array(value), grade,
@@ -183,12 +185,25 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     toxic_type = rows.schema["toxic"].dataType.simpleString()
-    bags = (rows.mapInArrow(run, f"doc_id {id_type}, toxic {toxic_type}, "
-                                 "terms array<binary>, counts array<int>")
-            .dropDuplicates(["doc_id"]).orderBy("doc_id"))
+    schema = f"doc_id {id_type}, toxic {toxic_type}, terms array<binary>, counts array<int>"
+    bags = stored(rows.mapInArrow(run, schema).dropDuplicates(["doc_id"]), "bags")
+    terms = telling_terms(bags)
+    wanted = frozenset(terms)
+
+    def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [[(t, n) for t, n in zip(terms, counts, strict=True) if t in wanted]
+                    for terms, counts in zip(batch.column("terms").to_pylist(),
+                                             batch.column("counts").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"),
+                 pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.binary())),
+                 pa.array([[n for _, n in r] for r in rows], pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "terms", "counts"])
+
     sample = [({bytes(t): n for t, n in zip(r.terms, r.counts, strict=True)}, r.toxic > 0)
-              for r in bags.toLocalIterator()]
-    return fit(sample)
+              for r in bags.mapInArrow(telling, schema).orderBy("doc_id").collect()]
+    return fit(sample, terms)
 
 
 def with_severity(df: DataFrame, model: Severity | None, text: str = "text",
