@@ -192,6 +192,26 @@ def test_shared_folder_on_a_cluster_must_be_named(spark, monkeypatch):
     assert workspace.shared_folder(spark).startswith("/")
 
 
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077", "yarn"])
+def test_only_one_process_has_a_folder_of_its_own(monkeypatch, master):
+    from tillroll.functions import workspace
+
+    assert not workspace._ONE_PROCESS.fullmatch(master)
+    assert workspace._ONE_PROCESS.fullmatch("local[*]") and workspace._ONE_PROCESS.fullmatch("local")
+
+
+def test_scratch_removes_what_was_made_inside(spark):
+    from tillroll.functions import workspace
+
+    outside = workspace.stored(spark.range(3), "outside")
+    with workspace.scratch(spark):
+        inside = workspace.stored(spark.range(5), "inside")
+        assert inside.count() == 5
+        path = Path(inside.inputFiles()[0].removeprefix("file:")).parent
+        assert path.is_dir()
+    assert not path.exists() and outside.count() == 3
+
+
 def test_sibling_of_a_layer():
     assert medallion.sibling_of("gold", "copy") == "copy"
     assert medallion.sibling_of("lake/gold/", "copy") == "lake/copy"

@@ -2,30 +2,43 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Masters that run everything in one process.
+_ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?")
+
+_own_folders: dict[str, str] = {}
+_scratches: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a machine-local folder would be lost with its machine.
+    Only a session in one process without that setting gets a temporary folder
+    of its own; on a cluster a machine-local folder would be lost with its machine.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if not _ONE_PROCESS.fullmatch(context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-"))
-    return context.getCheckpointDir()
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tillroll-")
+    return _own_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scratches:
+        _scratches[-1].append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -38,3 +51,21 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate folders that were made inside when it ends.
+
+    Results must be written or collected before; a frame that is read later
+    would miss its files.  Without it, intermediate folders stay.
+    """
+    made: list[str] = []
+    _scratches.append(made)
+    try:
+        yield
+    finally:
+        _scratches.remove(made)
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from tillroll.functions import fixed_values as fixed
-from tillroll.sources.star import COUNTRIES
+from tillroll.registry import expected
 
 # Stated here a second time so that the check does not lean on the engine under
 # test.  Fixed values: Spark's English stop words.
@@ -33,17 +32,17 @@ def _case(branches: list[tuple[str, str]], otherwise: str) -> str:
 
 
 _COUNTRY = "CASE c_nationkey {} END".format(
-    " ".join(f"WHEN {i} THEN {_text(c)}" for i, c in enumerate(COUNTRIES))
+    " ".join(f"WHEN {i} THEN {_text(c)}" for i, c in enumerate(expected.COUNTRIES))
 )
 _CONTINENT = _case(
-    [(f"contains(Country, {_text(n)})", label) for n, label in fixed.CONTINENT_NEEDLES],
-    fixed.CONTINENT_ELSE,
+    [(f"contains(Country, {_text(n)})", label) for n, label in expected.CONTINENTS],
+    expected.CONTINENT_ELSE,
 )
 _CATEGORY = _case(
-    [(f"contains(desc_clean, {_text(n)})", label) for n, label in fixed.CATEGORY_NEEDLES],
-    fixed.CATEGORY_ELSE,
+    [(f"contains(desc_clean, {_text(n)})", label) for n, label in expected.CATEGORIES],
+    expected.CATEGORY_ELSE,
 )
-_STOP = ", ".join(_text(w) for w in (*ENGLISH_STOP_WORDS, *fixed.EXTRA_STOP_WORDS))
+_STOP = ", ".join(_text(w) for w in (*ENGLISH_STOP_WORDS, *expected.EXTRA_STOP_WORDS))
 _SAMPLE_HASH = (
     "md5(concat_ws('|', InvoiceNo, ItemCode, Description, CAST(Quantity AS VARCHAR), "
     "CustomerID, Country))"
@@ -130,7 +129,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT *, {_CATEGORY} AS product_category
         FROM (SELECT *, lower(Description) AS desc_clean FROM phase2)"""),
     "phase3": (("categorised",), f"""
-        SELECT * FROM categorised ORDER BY {_SAMPLE_ORDER} LIMIT {fixed.SAMPLE_ROWS}"""),
+        SELECT * FROM categorised ORDER BY {_SAMPLE_ORDER} LIMIT {expected.SAMPLE_ROWS}"""),
     "rest": (("phase2", "phase3"), """
         SELECT * FROM phase2 p WHERE NOT EXISTS (SELECT 1 FROM phase3 s WHERE {})""".format(
         " AND ".join(f"s.{c} = p.{c}" for c in _PHASE2_COLUMNS))),
@@ -230,7 +229,7 @@ def _distinct(columns, table: str) -> str:
 
 
 def _check(name: str) -> str:
-    predicate = fixed.TABLE_CHECKS[name]
+    predicate = expected.TABLE_CHECKS[name]
     return (
         f"SELECT {_text(name)} AS check_name, count(*) AS rows, "
         f"count(*) FILTER (WHERE NOT coalesce({predicate}, false)) AS broken_rows FROM phase3"
@@ -554,14 +553,14 @@ ORACLES: dict[str, str] = {
     "x05_bigram_counts": with_parts("""
         SELECT bigram, count(*) AS count FROM (SELECT unnest(b) AS bigram FROM raw_paired)
         GROUP BY bigram""", "raw_paired"),
-    "q02_cleaning_rules": with_parts(_rules(fixed.CLEANING_RULES, "retail"), "retail"),
-    "q02_cleaning_rules_silver": with_parts(_rules(fixed.CLEANING_RULES, "silver"), "silver"),
-    "q03_enriched_rules": with_parts(_rules(fixed.ENRICHED_RULES, "gold"), "gold"),
+    "q02_cleaning_rules": with_parts(_rules(expected.CLEANING_RULES, "retail"), "retail"),
+    "q02_cleaning_rules_silver": with_parts(_rules(expected.CLEANING_RULES, "silver"), "silver"),
+    "q03_enriched_rules": with_parts(_rules(expected.ENRICHED_RULES, "gold"), "gold"),
     "q04_check_report": with_parts("""
         SELECT 'enriched' AS scope, count(*) AS row_count, name, max(violations) AS violations,
                max(bad) = 0 AS passed
         FROM gold, (SELECT *, sum(violations) OVER () AS bad FROM ({}))
-        GROUP BY name""".format(_rules(fixed.ENRICHED_RULES, "gold")), "gold"),
+        GROUP BY name""".format(_rules(expected.ENRICHED_RULES, "gold")), "gold"),
     "q06_profile": with_parts(
         " UNION ALL ".join(_profile_row(c, numeric) for c, numeric in _PHASE1_COLUMNS.items()),
         "phase1"),
