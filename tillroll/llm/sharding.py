@@ -2,7 +2,8 @@
 
 Linked documents start spread evenly over the shards.  In each round a document
 looks at the shards of those it is linked with and asks to move to one it would
-rather be in: one with more of them, ties by a hash that all of them share.
+rather be in: one with more of them, ties by a hash that all of them share and
+that changes with the round, so that a full shard does not block them for good.
 Shards swap documents one for one, and each takes as many more as its quota has
 room for.  Documents without links have no wish; they fill the shards up at the
 end, so the counts are at most one apart.
@@ -21,21 +22,24 @@ from tillroll.llm.common import unused, utf8
 from tillroll.llm.prefix import random_key, with_prefix
 
 SHARDS = 8
-ROUNDS = 6
+ROUNDS = 10
 
 
 def quotas(n: int, shards: int) -> list[int]:
     return [n // shards + (s < n % shards) for s in range(shards)]
 
 
-def _with_liked(rows: DataFrame) -> DataFrame:
+def _with_liked(rows: DataFrame, turn: int) -> DataFrame:
     """Adds ``liked``: the shards that a row would rather be in, best first."""
     counts = rows.groupBy("grp", "shard").agg(F.count("*").alias("n"))
     # One row per group, with at most one entry per shard.
     order = counts.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct(
-        (-F.col("n")).alias("n"), F.xxhash64("grp", "shard").alias("h"),
+        (-F.col("n")).alias("n"), F.xxhash64("grp", "shard", F.lit(turn)).alias("h"),
         F.col("shard").alias("shard")))).alias("ranked"))
-    return rows.join(order.selectExpr("grp", "ranked.shard AS ranked"), "grp").selectExpr(
+    # Written first, so that both sides of the join come from an exchange of their own and
+    # adaptive execution can split a large group.
+    order = stored(order.selectExpr("grp", "ranked.shard AS ranked"), "ranked")
+    return rows.join(order, "grp").selectExpr(
         "uid", "key", "grp", "shard",
         "slice(ranked, 1, CAST(array_position(ranked, shard) - 1 AS int)) AS liked")
 
@@ -49,12 +53,12 @@ def propagate(linked: DataFrame, room: list[int], rounds: int = ROUNDS) -> DataF
     shards = len(room)
     rows = stored(with_prefix(linked, [], "key", F.lit(1), "place").selectExpr(
         "uid", "key", "grp", f"CAST(place % {shards} AS int) AS shard"), "labels")
-    for _ in range(rounds):
+    for turn in range(rounds):
         held = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}
         free = [room[s] - held.get(s, 0) for s in range(shards)]
         opened = ", ".join(str(s) for s in range(shards) if free[s] > 0) or "-1"
         # The best liked shard with room, or else the best at all, for a swap.
-        asked = stored(_with_liked(rows).selectExpr(
+        asked = stored(_with_liked(rows, turn).selectExpr(
             "uid", "key", "grp", "shard",
             f"coalesce(get(filter(liked, s -> s IN ({opened})), 0), get(liked, 0)) AS goal"), "wishes")
         wanting = asked.where("goal IS NOT NULL")
@@ -84,7 +88,8 @@ def assign(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     The counts of the shards are at most one apart; slots run from 0 in each.
     """
     room = quotas(rows.count(), shards)
-    sizes = rows.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
+    sizes = stored(rows.groupBy("grp").agg(F.count("*").alias("members"))
+                   .where("members > 1"), "sizes")
     known = stored(rows.select("uid", "key", "grp").join(sizes, "grp", "left"), "groups")
     linked = known.where("members IS NOT NULL").select("uid", "key", "grp")
     linked = propagate(linked, room, rounds).select("uid", "key", "shard")
