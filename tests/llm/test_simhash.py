@@ -90,19 +90,45 @@ def test_chain_is_one_component(spark):
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
 
 
+def similar(a, b):
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) >= 0.8 * len(x | y)
+
+
 def test_one_of_each_keeps_columns_and_one_row(spark):
     rows = [(d, t) for d, t in enumerate(texts()[:60])] + [(3, "one"), (3, "one"), (None, "one")]
     frame = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows], FIELDS)
     kept = simhash.one_of_each(frame)
     assert kept.schema.fieldNames() == ["doc_id", "text", "fp", "root", "tail"]
     _, prints, root = expected(rows)
+    group = {i: root[prints[i]] for i in range(len(rows))}
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and similar(rows[i][1], rows[j][1]):
+                old, new = group[i], group[j]
+                group = {k: new if g == old else g for k, g in group.items()}
     lowest = {}
     for i, (doc, _) in enumerate(rows):
-        r = root[prints[i]]
-        lowest[r] = min(lowest.get(r, (True, 0)), (doc is None, doc))
+        lowest[group[i]] = min(lowest.get(group[i], (True, 0)), (doc is None, doc or 0))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for _, d in lowest.values())
 
 
+def test_large_groups_of_near_copies(spark):
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    rows = [(9000, "another text altogether " * 3)]
+    for i in range(400):
+        words = list(base)
+        words[rng.randrange(200)] = f"edit{i}"
+        rows += [(i, " ".join(words))] * (3 if i % 10 == 0 else 1)
+    frame = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows], FIELDS)
+    assert sorted(r.doc_id for r in simhash.one_of_each(frame).collect()) == [0, 9000]
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], FIELDS)
     assert simhash.near_duplicates(frame).count() == 0

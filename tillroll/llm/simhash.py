@@ -264,8 +264,10 @@ def similar_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 [batch.column("node"), pa.array(made, pa.binary())], names=["node", "shingles"])
 
     kind = texts.schema["node"].dataType.simpleString()
-    sets = stored(texts.join(needed, "node").select("node", "data").mapInArrow(
-        run, f"node {kind}, shingles binary").dropDuplicates(["node"]), "shingles")
+    # Equal texts become one in each task before they are shuffled.
+    folded = texts.groupBy("node").agg(F.first("data").alias("data"))
+    sets = stored(folded.join(needed, "node").select("node", "data").mapInArrow(
+        run, f"node {kind}, shingles binary"), "shingles")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
