@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import unused
 
-# Rows that one window of the prefix sums has, about.
-ROWS = 20_000
+# Rows that one window of the prefix sums has, about, and parts whose sums are added
+# up together.
+ROWS = 5_000
+PARTS = 1_000
 
 
 def random_key(doc_id: str | Column, text: str | Column) -> Column:
@@ -31,16 +33,26 @@ def with_prefix(df: DataFrame, groups: list[str], key: str, value: Column,
     of the parts before it are added.  ``groups`` must not be null.  ``df`` is
     evaluated more than once and should be a stored table.
     """
-    part, total, offset, own = unused(df, "part", "total", "offset", "own")
+    part, span, total, offset, own, lead = unused(
+        df, "part", "span", "total", "offset", "own", "lead")
     parts = max(1, -(-df.count() // rows))
     cut = df.withColumn(part, F.expr(
         f"CAST(floor(CAST(conv(substring({key}, 1, 8), 16, 10) AS bigint) * {parts}D"
         f" / 4294967296D) AS bigint)"))
-    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (cut.groupBy(*groups, part).agg(F.sum(value).alias(total))
-               .withColumn(offset, F.coalesce(F.sum(total).over(earlier), F.lit(0)))
-               .drop(total))
+
+    def earlier(sums: DataFrame, within: list[str], order: str, name: str) -> DataFrame:
+        before = Window.partitionBy(*within).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, -1)
+        return sums.withColumn(name, F.coalesce(F.sum(total).over(before), F.lit(0)))
+
+    # Sums of parts, and of spans of parts: no window has more than PARTS of either
+    # until there are PARTS * PARTS parts.
+    sums = cut.groupBy(*groups, part).agg(F.sum(value).alias(total)).withColumn(
+        span, F.expr(f"{part} DIV {PARTS}"))
+    spans = earlier(sums.groupBy(*groups, span).agg(F.sum(total).alias(total)), groups, span, lead)
+    offsets = (earlier(sums, [*groups, span], part, offset)
+               .join(spans.drop(total), [*groups, span])
+               .select(*groups, part, (F.col(offset) + F.col(lead)).alias(offset)))
     inside = Window.partitionBy(*groups, part).orderBy(key).rowsBetween(
         Window.unboundedPreceding, -1)
     return (cut.withColumn(own, F.coalesce(F.sum(value).over(inside), F.lit(0)))
