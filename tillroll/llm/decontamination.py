@@ -4,9 +4,9 @@ Test items and training texts are read as lower-cased words without marks at the
 each place three fixed masks hash six of ten words and ignore the others, so a
 seed still hits when ignored words were replaced: any two replaced words in a
 passage of 13 leave a hit.  Each hit gives a place of the item in the text; along it
-the longest agreeing stretch, replaced words allowed, is taken, and it counts as an overlap if it has
-``MIN_WORDS`` equal words (or all of a shorter item) and at most a fifth of its
-words differ.
+the best agreeing stretch, replaced words allowed, is taken.  It is an overlap if it has
+``MIN_WORDS`` equal words and at most a fifth of its words differ; so is the
+whole item if at most a fifth of its words differ.
 
 Training hashes are never shuffled.  The items are the stated query set: they
 are met in blocks of a bounded number of words, each broadcast to a scan.
@@ -129,7 +129,9 @@ class Items:
             end = int(np.argmax(run - np.minimum.accumulate(run)))
             start = int(np.argmin(run[:end + 1]))
             length, equal = end - start, int(same[start:end].sum())
-            if equal < min(MIN_WORDS, len(item)) or equal < MIN_SHARE * length:
+            if same.sum() >= MIN_SHARE * len(item):
+                start, length, equal = 0, len(same), int(same.sum())
+            elif equal < MIN_WORDS or equal < MIN_SHARE * length:
                 continue
             if equal > best.get(i, (0, 0, 0))[0]:
                 best[i] = (equal, length, low + offset + start)
