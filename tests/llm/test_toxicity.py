@@ -86,3 +86,35 @@ def test_held_out_rows(spark):
     assert not [r.doc_id for r in rows if r.found and not r.toxic]
     # Toxic rows of other languages hold no telling term at all.
     assert sum(r.found for r in rows) >= 0.5 * sum(r.toxic for r in rows)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").is_dir(), reason="test tables not present")
+def test_held_out_rows_of_each_language(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = toxicity.severities(docs, labels.where("doc_id % 3 > 0")).withColumnRenamed(
+        "toxic", "found").join(labels.where("doc_id % 3 = 0"), "doc_id").join(
+        docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("en", "fr", "de", "es"):
+        toxic = [r.found for r in rows if r.lang == lang and r.toxic]
+        clean = [r.found for r in rows if r.lang == lang and not r.toxic]
+        assert sum(toxic) >= 0.5 * len(toxic), lang
+        assert sum(clean) <= 0.02 * len(clean), lang
+
+
+def test_copies_make_no_term_and_small_languages_keep_theirs(spark):
+    rng = random.Random(4)
+    rows = []
+    for i, text, toxic in rows_of(600, 3):
+        rows.append((i, text, "en", int(toxic)))
+    once = " ".join(f"word{rng.randrange(200)}" for _ in range(40)) + " copied"
+    rows += [(1000 + i, once, "en", 1) for i in range(12)]
+    for i in range(60):
+        toxic = i % 5 == 0
+        words = [f"mot{rng.randrange(80)}" for _ in range(30)] + ["vilain"] * toxic
+        rows.append((2000 + i, " ".join(words), "fr", int(toxic)))
+    frame = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    assert set(toxicity.fit_on_labels(frame, labels).weights) == {
+        b"vile", b"awful", b"nasty", b"vilain"}

@@ -5,6 +5,10 @@ one weight vector w for all thresholds t_0 < t_1 < ...  The features x are
 sparse: for each term that tells toxic from clean documents, the logarithm of
 its count.  The result is the expected severity, the sum of k * P(grade = k).
 
+Terms are tested over all rows and within each language, since a word of a
+language with few rows tells little over all of them.  A row counts once with its
+near copies, so a few copied documents make no term.
+
 Labels say toxic or not.  The grades of the toxic ones come from how often
 they use telling terms: the thirds of these counts are grades 1, 2 and 3, and a
 toxic row without any has grade 1.
@@ -18,11 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.workspace import stored
 from tillroll.llm.common import bounded, unused, utf8, word_blocks
+from tillroll.llm.simhash import shingle_hashes
 
 TOP = 3
 # Labelled rows of each kind that the model is fitted on at most, by id hash.
@@ -30,12 +35,12 @@ FIT_TOXIC = 3_000
 FIT_CLEAN = 6_000
 # Telling terms at most.
 TERMS = 1_000
-# A term tells if its log-likelihood ratio against the clean rows is this high.
-# and at least this share of the best term's.  Terms that only come from a few
-# copied toxic documents stay far below the best ones.
+# A term tells if its log-likelihood ratio against the clean rows is this high
+# and it is in so many toxic rows that are no near copies.
 MIN_RATIO = 15.0
-MIN_SHARE = 0.15
 MIN_ROWS = 3
+# Words of a shingle by which copies are told.
+COPY_SHINGLE = 5
 # Rejected from this probability of any severity on: labels miss some toxic rows.
 REJECT = 0.2
 _EDGES = b".,;:!?\"'()[]{}<>*#$%&|-_"
@@ -56,6 +61,12 @@ def term_counts(data: bytes) -> dict[bytes, int]:
     return terms
 
 
+def copy_key(data: bytes) -> int:
+    """The least shingle hash: mostly the same for near copies, always for copies."""
+    low = min((int(h.min()) for h in shingle_hashes(data.lower(), COPY_SHINGLE)), default=0)
+    return low - (1 << 64) if low >> 63 else low
+
+
 @dataclass
 class Severity:
     """Terms with their weights, and the ordered thresholds."""
@@ -71,28 +82,39 @@ class Severity:
 
 
 def telling_terms(bags: DataFrame) -> list[bytes]:
-    """Terms of stored rows (toxic, terms) found in clearly more toxic than clean
-    rows, by the G test; at most ``TERMS`` of them reach the driver."""
-    n_toxic, n_clean = bags.selectExpr(
-        "count_if(toxic > 0)", "count_if(toxic <= 0)").first()
-    if not n_toxic or not n_clean:
-        return []
-    share = f"((a + c) / {n_toxic + n_clean}D)"
+    """Terms of stored rows (toxic, copy, lang, terms) found in clearly more toxic than
+    clean rows, by the G test over all rows and within each language.
+
+    At most ``TERMS`` of them reach the driver: the best of each language, then
+    the second ones and so on.
+    """
+    scoped = bags.selectExpr(
+        "copy", "toxic > 0 AS bad", "terms",
+        "explode(IF(lang IS NULL, array(''), array('', concat('=', lang)))) AS scope")
+    sizes = scoped.groupBy("scope").agg(
+        F.expr("count(DISTINCT IF(bad, copy, NULL))").alias("n_toxic"),
+        F.expr("count(DISTINCT IF(bad, NULL, copy))").alias("n_clean"),
+    ).where("n_toxic > 0 AND n_clean > 0")
+    share = "((a + c) / CAST(n_toxic + n_clean AS double))"
 
     def part(count: str, expected: str) -> str:
         return f"IF({count} > 0, {count} * ln({count} / ({expected})), 0D)"
 
     ratio = " + ".join([
-        part("a", f"{n_toxic} * {share}"), part("c", f"{n_clean} * {share}"),
-        part(f"({n_toxic} - a)", f"{n_toxic} * (1 - {share})"),
-        part(f"({n_clean} - c)", f"{n_clean} * (1 - {share})")])
+        part("a", f"n_toxic * {share}"), part("c", f"n_clean * {share}"),
+        part("(n_toxic - a)", f"n_toxic * (1 - {share})"),
+        part("(n_clean - c)", f"n_clean * (1 - {share})")])
+    best = Window.partitionBy("scope").orderBy(F.desc("ratio"), "term")
     found = (
-        bags.selectExpr("explode(terms) AS term", "toxic > 0 AS bad").groupBy("term")
+        scoped.selectExpr("scope", "copy", "bad", "explode(terms) AS term").distinct()
+        .groupBy("scope", "term")
         .agg(F.expr("count_if(bad) AS a"), F.expr("count_if(NOT bad) AS c"))
-        .where(f"a >= {MIN_ROWS} AND a * {n_clean} > c * {n_toxic}")
-        .selectExpr("term", f"2 * ({ratio}) AS ratio").where(f"ratio >= {MIN_RATIO}")
-        .orderBy(F.desc("ratio"), "term").limit(TERMS).collect())
-    return sorted(bytes(r.term) for r in found if r.ratio >= MIN_SHARE * found[0].ratio)
+        .where(f"a >= {MIN_ROWS}").join(sizes, "scope").where("a * n_clean > c * n_toxic")
+        .selectExpr("scope", "term", f"2 * ({ratio}) AS ratio").where(f"ratio >= {MIN_RATIO}")
+        .withColumn("place", F.row_number().over(best))
+        .groupBy("term").agg(F.min("place").alias("place"), F.max("ratio").alias("ratio"))
+        .orderBy("place", F.desc("ratio"), "term").limit(TERMS).collect())
+    return sorted(bytes(r.term) for r in found)
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade: np.ndarray,
@@ -157,12 +179,13 @@ def fit(rows: list[tuple[dict[bytes, int], bool]], terms: list[bytes],
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
-                  text: str = "text") -> Severity | None:
+                  text: str = "text", lang: str = "lang") -> Severity | None:
     """The model from at most ``FIT_TOXIC`` + ``FIT_CLEAN`` labelled documents.
 
     Those of the smallest id hash of each kind are taken; of several labels of
     a document the highest counts.  The chosen ids, of which there are at most
-    that many, are broadcast, so texts are not shuffled.
+    that many, are broadcast, so texts are not shuffled.  Without a column ``lang``
+    all rows count as one language.
     """
     bounded(docs.sparkSession)
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
@@ -171,22 +194,27 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     known = known.join(docs.select(F.col(doc_id).alias("doc_id")).distinct(), "doc_id")
     chosen = [known.where(c).orderBy("h", "doc_id").limit(n).select("doc_id", "toxic")
               for c, n in (("toxic > 0", FIT_TOXIC), ("toxic <= 0", FIT_CLEAN))]
-    rows = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("data")).join(
+    language = F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), language.alias("lang"),
+                       utf8(text).alias("data")).join(
         F.broadcast(chosen[0].union(chosen[1])), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [term_counts(x.as_py()) for x in batch.column("data")]
+            texts = [x.as_py() for x in batch.column("data")]
+            made = [term_counts(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
+                 pa.array([copy_key(t) for t in texts], pa.int64()), batch.column("lang"),
                  pa.array([list(m) for m in made], pa.list_(pa.binary())),
                  pa.array([list(m.values()) for m in made], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "terms", "counts"])
+                names=["doc_id", "toxic", "copy", "lang", "terms", "counts"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     toxic_type = rows.schema["toxic"].dataType.simpleString()
     schema = f"doc_id {id_type}, toxic {toxic_type}, terms array<binary>, counts array<int>"
-    bags = stored(rows.mapInArrow(run, schema).dropDuplicates(["doc_id"]), "bags")
+    told = schema.replace("terms", "copy bigint, lang string, terms", 1)
+    bags = stored(rows.mapInArrow(run, told).dropDuplicates(["doc_id"]), "bags")
     terms = telling_terms(bags)
     wanted = frozenset(terms)
 
