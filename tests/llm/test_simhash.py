@@ -129,6 +129,34 @@ def test_large_groups_of_near_copies(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each(frame).collect()) == [0, 9000]
 
 
+def pairs_with(kind):
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        if kind == "tail":
+            # A new tail changes all classes of a text of 300 words.
+            words = [f"w{int(rng.paretovariate(0.7))}x{i}" for _ in range(300)]
+            copy = words[:290] + [f"t{rng.random()}" for _ in range(50)]
+            while not similar(" ".join(words), " ".join(copy)):
+                copy.pop()
+        else:
+            words = [f"w{rng.randrange(10)}" for _ in range(120)]
+            copy = list(words)
+            copy[60] = f"w{(int(words[60][1:]) + 1) % 10}"
+            assert similar(" ".join(words), " ".join(copy))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    return rows
+
+
+def test_all_pairs_at_the_limit_are_linked(spark, monkeypatch):
+    for kind in ("tail", "few words"):
+        for texts in (simhash.COMMON_TEXTS, 2):
+            monkeypatch.setattr(simhash, "COMMON_TEXTS", texts)
+            frame = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in pairs_with(kind)], FIELDS)
+            got = sorted(r.doc_id for r in simhash.one_of_each(frame).collect())
+            assert got == list(range(0, 120, 2)), kind
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], FIELDS)
     assert simhash.near_duplicates(frame).count() == 0

@@ -192,40 +192,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "doc_id", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id")
 
 
-# For ``one_of_each``: word shingles and similarity of near-duplicates, words
-# of a class, and classes of a text that are looked at.
+# For ``one_of_each``: similarity of near-duplicates over word shingles.
 SIMILAR = 0.8
 SIMILAR_SHINGLE = 5
-CLASS_WORDS = 8
-CLASSES = 8
-
-
-def class_prints(data: bytes) -> list[int]:
-    """Fingerprints of a few classes of a text's different words.
-
-    The words are dealt to classes of about ``CLASS_WORDS`` by hash, and each
-    of the first ``CLASSES`` classes has a fingerprint of its words, told apart by
-    class.  A replaced word changes two classes only, so near copies have most
-    fingerprints in common, while a passage that other texts share leaves no
-    class alike.  The number of classes is a power of two; two roundings make
-    sure that texts of about the same number of words have one in common.
-    """
-    words: set[bytes] = set()
-    for block in word_blocks(data.lower()):
-        words.update(block)
-    if not words:
-        return [0]
-    hashes = np.sort(np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64,
-                                 len(words)))
-    size = np.log2(max(1.0, len(words) / CLASS_WORDS))
-    made = []
-    for level in sorted({int(size), int(size + 0.5)}):
-        group = (hashes >> np.uint64(20)) % np.uint64(1 << level)
-        for g in range(min(CLASSES, 1 << level)):
-            inside = hashes[group == g]
-            if len(inside):
-                made.append(xxhash.xxh64_intdigest(inside.tobytes(), level << 32 | g))
-    return [m - (1 << 64) if m >> 63 else m for m in made]
+# Texts in which common shingles are looked for, about; a shingle is common in this many of
+# them; and common shingles that are broadcast at most.  They only set the order in which
+# shingles are looked at, not what is found.
+SAMPLE_TEXTS = 10_000
+COMMON_TEXTS = 10
+COMMON = 100_000
 
 
 def _shingle_set(data: bytes) -> np.ndarray:
@@ -233,41 +208,48 @@ def _shingle_set(data: bytes) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
 
 
-def _candidates(keys: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts with a common class, linear in the rows (key, node).
+def rare_shingles(shingles: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first ``n - ceil(SIMILAR n) + 1`` of a text's n shingles in one order for all texts.
 
-    Each text is paired with the first one of its class and with the next one,
-    in an order of its own for each class: never all pairs of a class.
+    Two sets with a Jaccard index of ``SIMILAR`` have one of these in common:
+    otherwise all they share would be among the last ``ceil(SIMILAR n) - 1`` of one.
+    Shingles that are not ``common`` (sorted) come first, by hash; common ones by ``rank``.
     """
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.expr(
-        "min(struct(xxhash64(key, node) AS h, node))").alias("first")).where("n > 1")
-    held = keys.join(shared, "key")
-    star = held.where("node <> first.node").selectExpr("first.node AS a", "node AS b")
-    # Windows over parts of a class, so that a large one is split.
-    chain = held.selectExpr(
-        "key", "node", "xxhash64(key, node) AS h", "pmod(xxhash64(node, key, 7), 1 + n DIV 1000) AS part"
-    ).selectExpr("node AS a", "lead(node) OVER (PARTITION BY key, part ORDER BY h, node) AS b")
-    return (star.union(chain.where("b IS NOT NULL"))
-            .selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct())
-
-
-def similar_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts (node, data) with a common class (key, node) whose
-    sets of ``SIMILAR_SHINGLE``-word shingles have a Jaccard index of ``SIMILAR``."""
-    pairs = stored(_candidates(keys), "candidates")
-    needed = pairs.selectExpr("explode(array(a, b)) AS node").distinct()
+    if not len(shingles):
+        return shingles
+    wanted = len(shingles) // 5 + 1
+    if not len(common):
+        return shingles[:wanted]
+    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+    known = common[at] == shingles
+    rare = shingles[~known][:wanted]
+    last = shingles[known][np.argsort(rank[at[known]])]
+    return np.concatenate([rare, last[:wanted - len(rare)]])
+
+
+def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of many texts in a sample of the rows (node, data), sorted, and their places
+    in the order of rising counts."""
+    every = max(1, rows.count() // SAMPLE_TEXTS)
+    some = rows.where(f"pmod(xxhash64(node), {every}) = 0").groupBy("node").agg(
+        F.first("data").alias("data"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [_shingle_set(x.as_py()).tobytes() for x in batch.column("data")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(made, pa.binary())], names=["node", "shingles"])
+            for x in batch.column("data"):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_shingle_set(x.as_py()).view(np.int64))], names=["shingle"])
+
+    found = (some.select("data").mapInArrow(run, "shingle bigint").groupBy("shingle").count()
+             .where(f"count >= {COMMON_TEXTS}").orderBy(F.desc("count"), "shingle")
+             .limit(COMMON).collect())
+    hashes = np.array([r.shingle for r in found], dtype=np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], (len(hashes) - order).astype(np.int64)
 
-    kind = texts.schema["node"].dataType.simpleString()
-    # Equal texts become one in each task before they are shuffled.
-    folded = texts.groupBy("node").agg(F.first("data").alias("data"))
-    sets = stored(folded.join(needed, "node").select("node", "data").mapInArrow(
-        run, f"node {kind}, shingles binary"), "shingles")
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets (sid, shingles) with a Jaccard index of ``SIMILAR``."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,9 +262,58 @@ def similar_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 [batch.column("a"), batch.column("b")], names=["a", "b"]
             ).filter(pa.array(kept, pa.bool_()))
 
-    joined = (pairs.join(sets.selectExpr("node AS a", "shingles AS x"), "a")
-              .join(sets.selectExpr("node AS b", "shingles AS y"), "b"))
-    return joined.select("a", "b", "x", "y").mapInArrow(check, f"a {kind}, b {kind}")
+    joined = (pairs.join(sets.selectExpr("sid AS a", "shingles AS x"), "a")
+              .join(sets.selectExpr("sid AS b", "shingles AS y"), "b"))
+    return joined.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+
+
+def similar_texts(texts: DataFrame, prints: DataFrame) -> DataFrame:
+    """Links (a, b) of texts (node, data) that join all texts whose sets of
+    ``SIMILAR_SHINGLE``-word shingles have a Jaccard index of ``SIMILAR``.
+
+    ``prints`` (node, sid, n, keys) is stored and has each text's set by its hash, its size
+    and its rare shingles.  Texts of equal sets are one.  The sets with a common
+    rare shingle are first compared with the one of the least hash, and what
+    that links is joined; then all pairs that are not yet in one group are compared.
+    """
+    leaders = stored(prints.groupBy("sid").agg(F.min("node").alias("node")), "leaders")
+    equal = prints.select("sid", "node").join(
+        leaders.withColumnRenamed("node", "b"), "sid").where("node <> b").selectExpr(
+        "node AS a", "b")
+    keys = prints.join(equal.selectExpr("a AS node"), "node", "left_anti").selectExpr(
+        "explode(keys) AS key", "sid", "n")
+    shared = keys.groupBy("key").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).where(
+        "first <> last").select("key", "first")
+    held = stored(keys.join(shared, "key"), "held")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_shingle_set(x.as_py()).tobytes() for x in batch.column("data")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sid"), pa.array(made, pa.binary())], names=["sid", "shingles"])
+
+    needed = leaders.join(held.select("sid").distinct(), "sid", "left_semi")
+    # Equal texts become one in each task before they are shuffled.
+    folded = texts.groupBy("node").agg(F.first("data").alias("data"))
+    sets = stored(folded.join(needed, "node").select("sid", "data").mapInArrow(
+        run, "sid bigint, shingles binary"), "shingles")
+
+    stars = stored(held.where("sid <> first").selectExpr("first AS a", "sid AS b").distinct(), "stars")
+    linked = stored(_similar(stars, sets), "links")
+    grouped = held.join(components(linked).withColumnRenamed("node", "sid"), "sid", "left").selectExpr(
+        "key", "sid", "n", "coalesce(root, sid) AS root")
+    grouped = stored(grouped, "grouped")
+    mixed = grouped.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
+        "x <> y").select("key")
+    left = grouped.join(mixed, "key")
+    rest = (left.selectExpr("key", "sid AS a", "n AS na", "root AS ra")
+            .join(grouped.selectExpr("key", "sid AS b", "n AS nb", "root AS rb"), "key")
+            .where("a < b AND ra <> rb AND 5 * na >= 4 * nb AND 5 * nb >= 4 * na")
+            .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
+    found = linked.union(_similar(stored(rest, "candidates"), sets))
+    return equal.union(
+        found.join(leaders.selectExpr("sid AS a", "node AS x"), "a")
+        .join(leaders.selectExpr("sid AS b", "node AS y"), "b").selectExpr("x AS a", "y AS b"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -299,22 +330,29 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     columns = docs.columns
     node = F.md5(utf8(text))
     rows = docs.select(node.alias("node"), F.col(doc_id).alias("doc_id"), utf8(text).alias("data"))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows.select("node", "data")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x.as_py() for x in batch.column("data")]
+            sets = [_shingle_set(t) for t in texts]
+            names = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("doc_id"),
                  pa.array([fingerprint(t) for t in texts], pa.int64()),
-                 pa.array([class_prints(t) for t in texts], pa.list_(pa.int64()))],
-                names=["node", "doc_id", "fp", "keys"])
+                 pa.array(names.view(np.int64)), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([rare_shingles(x, *common.value).view(np.int64) for x in sets],
+                          pa.list_(pa.int64()))],
+                names=["node", "doc_id", "fp", "sid", "n", "keys"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    prints = rows.mapInArrow(run, f"node string, doc_id {kind}, fp bigint, keys array<bigint>")
+    prints = rows.mapInArrow(run, f"node string, doc_id {kind}, fp bigint, sid bigint, n bigint, "
+                             "keys array<bigint>")
     # A row for each text.
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
     prints = stored(prints.groupBy("node").agg(
-        F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(rank).alias("rank")),
+        F.first("fp").alias("fp"), F.first("sid").alias("sid"), F.first("n").alias("n"),
+        F.first("keys").alias("keys"), F.min(rank).alias("rank")),
         "fingerprints")
     # Texts with linked fingerprints: each is linked with the first text of its fingerprint,
     # and these with each other.
@@ -324,8 +362,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     near = (links(firsts.select("fp"))
             .join(firsts.selectExpr("fp AS a", "node AS x"), "a")
             .join(firsts.selectExpr("fp AS b", "node AS y"), "b").selectExpr("x AS a", "y AS b"))
-    similar = similar_texts(rows.select("node", "data"),
-                            prints.selectExpr("explode(keys) AS key", "node").distinct())
+    similar = similar_texts(rows.select("node", "data"), prints.select("node", "sid", "n", "keys"))
     known = stored(components(same.union(near).union(similar)), "roots")
     named = prints.select("node", "rank").join(known, "node", "left").withColumn(
         "root", F.expr("coalesce(root, node)"))
