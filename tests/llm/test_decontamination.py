@@ -19,6 +19,28 @@ def test_two_replaced_words_of_thirteen_leave_a_seed():
         assert any(not p & set(replaced) for p in places), replaced
 
 
+def test_a_fifth_replaced_leaves_a_seed():
+    for n in range(d.SHORTEST, 21):
+        places = [{o + p for p in mask} for mask, at in d.seeds_of(n) for o in at]
+        assert all(max(p) < n for p in places)
+        for replaced in itertools.combinations(range(n), n // 5):
+            assert any(not p & set(replaced) for p in places), (n, replaced)
+    for n in range(d.SEGMENTED + 1, 1000):
+        assert 3 * (n // 13) > n // 5
+
+
+def test_short_items_with_replaced_words():
+    rng = random.Random(3)
+    for n in range(d.SHORTEST, 16):
+        item = words(rng, n)
+        hashed = d.Words()
+        held = d.Items([(1, hashed(" ".join(item).encode()))])
+        for replaced in itertools.combinations(range(n), n // 5):
+            text = ["other" if i in replaced else w for i, w in enumerate(item)]
+            text = " ".join(words(rng, 5) + text + words(rng, 5))
+            assert list(held.overlaps(hashed(text.encode()))) == [0], (n, replaced)
+
+
 def corpus():
     rng = random.Random(8)
     items = [words(rng, n) for n in (15, 30, 57, 13, 9, 8, 400)] + [words(rng, 5)]

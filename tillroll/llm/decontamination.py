@@ -3,7 +3,8 @@
 Test items and training texts are read as lower-cased words without marks at their edges.  At
 each place three fixed masks hash six of ten words and ignore the others, so a
 seed still hits when ignored words were replaced: any two replaced words in a
-passage of 13 leave a hit.  Each hit gives a place of the item in the text; along it
+passage of 13 leave a hit.  Items of at most ``SEGMENTED`` words are also cut into one
+more segment than a fifth of their words, so one segment stays whole.  Each hit gives a place of the item in the text; along it
 the best agreeing stretch, replaced words allowed, is taken.  It is an overlap if it has
 ``MIN_WORDS`` equal words and at most a fifth of its words differ; so is the
 whole item if at most a fifth of its words differ.
@@ -32,8 +33,11 @@ SPAN = 10
 MASKS = ((0, 1, 3, 7, 8, 9), (0, 2, 3, 6, 7, 9), (0, 1, 4, 5, 6, 9))
 MIN_WORDS = 13
 MIN_SHARE = 0.8
-# Items of fewer words are too short to be evidence; up to SPAN they must occur whole.
+# Items of fewer words are too short to be evidence.
 SHORTEST = 8
+# Beyond so many words, a fifth replaced leaves some 13 words with at most two replaced:
+# three in each 13 would be more, 3 * (n // 13) > n // 5.
+SEGMENTED = 90
 # Words of the items that are broadcast at a time, about (an item is not split).
 BLOCK_WORDS = 1_000_000
 
@@ -80,10 +84,13 @@ def seeds(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     return made ^ (made >> np.uint64(32))
 
 
-def masks_of(n_words: int) -> tuple[tuple[int, ...], ...]:
-    if n_words >= SPAN:
-        return MASKS
-    return (tuple(range(n_words)),) if n_words >= SHORTEST else ()
+def seeds_of(n_words: int) -> list[tuple[tuple[int, ...], list[int]]]:
+    """The masks of an item and its places where each is looked up."""
+    made = [(m, list(range(n_words - SPAN + 1))) for m in MASKS if n_words >= SPAN]
+    if SHORTEST <= n_words <= SEGMENTED:
+        parts = n_words // 5 + 1
+        made.append((tuple(range(n_words // parts)), [i * n_words // parts for i in range(parts)]))
+    return made
 
 
 class Items:
@@ -91,14 +98,17 @@ class Items:
 
     def __init__(self, items: list[tuple[int | None, np.ndarray]]):
         self.items = items
-        self.masks = sorted({m for _, w in items for m in masks_of(len(w))})
+        self.masks = sorted({m for n in {len(w) for _, w in items} for m, _ in seeds_of(n)})
         self.tables = []
         for mask in self.masks:
-            parts = [(seeds(w, mask), i) for i, (_, w) in enumerate(items)
-                     if mask in masks_of(len(w))]
-            hashes = np.concatenate([p for p, _ in parts])
-            owner = np.concatenate([np.full(len(p), i) for p, i in parts])
-            place = np.concatenate([np.arange(len(p)) for p, _ in parts])
+            parts = []
+            for i, (_, w) in enumerate(items):
+                at = dict(seeds_of(len(w))).get(mask)
+                if at:
+                    parts.append((seeds(w, mask)[at], np.array(at), i))
+            hashes = np.concatenate([p for p, _, _ in parts])
+            owner = np.concatenate([np.full(len(p), i) for p, _, i in parts])
+            place = np.concatenate([at for _, at, _ in parts])
             order = np.argsort(hashes, kind="stable")
             near = np.zeros(1 << _FILTER_BITS, dtype=bool)
             near[hashes >> np.uint64(64 - _FILTER_BITS)] = True
