@@ -282,8 +282,9 @@ def similar_texts(texts: DataFrame, prints: DataFrame) -> DataFrame:
         "node AS a", "b")
     keys = prints.join(equal.selectExpr("a AS node"), "node", "left_anti").selectExpr(
         "explode(keys) AS key", "sid", "n")
-    shared = keys.groupBy("key").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).where(
-        "first <> last").select("key", "first")
+    shared = keys.groupBy("key").agg(
+        F.expr("min(struct(sid, n))").alias("first"), F.max("sid").alias("last")
+    ).where("first.sid <> last").select("key", "first")
     held = stored(keys.join(shared, "key"), "held")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +299,9 @@ def similar_texts(texts: DataFrame, prints: DataFrame) -> DataFrame:
     sets = stored(folded.join(needed, "node").select("sid", "data").mapInArrow(
         run, "sid bigint, shingles binary"), "shingles")
 
-    stars = stored(held.where("sid <> first").selectExpr("first AS a", "sid AS b").distinct(), "stars")
+    stars = stored(held.where(
+        "sid <> first.sid AND 5 * n >= 4 * first.n AND 5 * first.n >= 4 * n"
+    ).selectExpr("first.sid AS a", "sid AS b").distinct(), "stars")
     linked = stored(_similar(stars, sets), "links")
     grouped = held.join(components(linked).withColumnRenamed("node", "sid"), "sid", "left").selectExpr(
         "key", "sid", "n", "coalesce(root, sid) AS root")
