@@ -1,11 +1,12 @@
-"""Operator 1: near-duplicates by SimHash and a binary trie self-join.
+"""Operator 1: near-duplicates by SimHash and a trie self-join.
 
 A fingerprint has one bit for each of 64 positions: set if it is set in over
 half of the hashes of the text's word shingles.  Two documents are linked if
 their fingerprints differ in at most ``MAX_DIFF`` bits; a component is what can
 be reached over links.
 
-The self-join runs over *distinct* fingerprints in binary tries.  A node is a
+The self-join runs over *distinct* fingerprints in tries: 32 bits
+at once, then four levels of a byte each.  A node is a
 prefix; a pair of nodes is followed to pairs of their children, the differing
 bits add up, and the pair is given up as soon as they exceed the budget.  From
 a single root nearly all pairs of the first levels would stay within the budget
