@@ -154,10 +154,13 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = edges.union(edges.selectExpr("v AS u", "u AS v"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        large = (both.join(low, "u").where("v > u").selectExpr("v AS u", "m AS v")
-                 .where("u <> v").distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        # The least neighbours are written before they are joined, so both sides of a join come
+        # from an exchange of their own and adaptive execution can split a node of many edges.
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m"))
+                     .selectExpr("u", "least(u, m) AS m"), "least")
+        large = stored(both.join(low, "u").where("v > u").selectExpr("v AS u", "m AS v")
+                       .where("u <> v").distinct(), "large")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = (large.join(low, "u").where("v <> m").selectExpr("v AS u", "m AS v")
                  .union(low.selectExpr("u", "m AS v")).distinct())
         edges = stored(small, "edges")
@@ -193,189 +196,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "doc_id", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id")
 
 
-# For ``one_of_each``: similarity of near-duplicates over word shingles.
-SIMILAR = 0.8
-SIMILAR_SHINGLE = 5
-# Texts in which common shingles are looked for, about; a shingle is common in this many of
-# them; and common shingles that are broadcast at most.  They only set the order in which
-# shingles are looked at, not what is found.
-SAMPLE_TEXTS = 10_000
-COMMON_TEXTS = 10
-COMMON = 100_000
-
-
-def _shingle_set(data: bytes) -> np.ndarray:
-    parts = list(shingle_hashes(data.lower(), SIMILAR_SHINGLE))
-    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
-
-
-def rare_shingles(shingles: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first ``n - ceil(SIMILAR n) + 1`` of a text's n shingles in one order for all texts.
-
-    Two sets with a Jaccard index of ``SIMILAR`` have one of these in common:
-    otherwise all they share would be among the last ``ceil(SIMILAR n) - 1`` of one.
-    Shingles that are not ``common`` (sorted) come first, by hash; common ones by ``rank``.
-    """
-    if not len(shingles):
-        return shingles
-    wanted = len(shingles) // 5 + 1
-    if not len(common):
-        return shingles[:wanted]
-    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-    known = common[at] == shingles
-    rare = shingles[~known][:wanted]
-    last = shingles[known][np.argsort(rank[at[known]])]
-    return np.concatenate([rare, last[:wanted - len(rare)]])
-
-
-def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of many texts in a sample of the rows (node, data), sorted, and their places
-    in the order of rising counts."""
-    every = max(1, rows.count() // SAMPLE_TEXTS)
-    some = rows.where(f"pmod(xxhash64(node), {every}) = 0").groupBy("node").agg(
-        F.first("data").alias("data"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x in batch.column("data"):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_shingle_set(x.as_py()).view(np.int64))], names=["shingle"])
-
-    found = (some.select("data").mapInArrow(run, "shingle bigint").groupBy("shingle").count()
-             .where(f"count >= {COMMON_TEXTS}").orderBy(F.desc("count"), "shingle")
-             .limit(COMMON).collect())
-    hashes = np.array([r.shingle for r in found], dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], (len(hashes) - order).astype(np.int64)
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets (sid, shingles) with a Jaccard index of ``SIMILAR``."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(both >= SIMILAR * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], names=["a", "b"]
-            ).filter(pa.array(kept, pa.bool_()))
-
-    joined = (pairs.join(sets.selectExpr("sid AS a", "shingles AS x"), "a")
-              .join(sets.selectExpr("sid AS b", "shingles AS y"), "b"))
-    return joined.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
-
-
-def similar_texts(texts: DataFrame, prints: DataFrame) -> DataFrame:
-    """Links (a, b) of texts (node, data) that join all texts whose sets of
-    ``SIMILAR_SHINGLE``-word shingles have a Jaccard index of ``SIMILAR``.
-
-    ``prints`` (node, sid, n, keys) is stored and has each text's set by its hash, its size
-    and its rare shingles.  Texts of equal sets are one.  The sets with a common
-    rare shingle are first compared with the one of the least hash, and what
-    that links is joined; then all pairs that are not yet in one group are compared.
-    """
-    leaders = stored(prints.groupBy("sid").agg(F.min("node").alias("node")), "leaders")
-    equal = prints.select("sid", "node").join(
-        leaders.withColumnRenamed("node", "b"), "sid").where("node <> b").selectExpr(
-        "node AS a", "b")
-    keys = prints.join(equal.selectExpr("a AS node"), "node", "left_anti").selectExpr(
-        "explode(keys) AS key", "sid", "n")
-    shared = keys.groupBy("key").agg(
-        F.expr("min(struct(sid, n))").alias("first"), F.max("sid").alias("last")
-    ).where("first.sid <> last").select("key", "first")
-    held = stored(keys.join(shared, "key"), "held")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [_shingle_set(x.as_py()).tobytes() for x in batch.column("data")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("sid"), pa.array(made, pa.binary())], names=["sid", "shingles"])
-
-    needed = leaders.join(held.select("sid").distinct(), "sid", "left_semi")
-    # Equal texts become one in each task before they are shuffled.
-    folded = texts.groupBy("node").agg(F.first("data").alias("data"))
-    sets = stored(folded.join(needed, "node").select("sid", "data").mapInArrow(
-        run, "sid bigint, shingles binary"), "shingles")
-
-    stars = stored(held.where(
-        "sid <> first.sid AND 5 * n >= 4 * first.n AND 5 * first.n >= 4 * n"
-    ).selectExpr("first.sid AS a", "sid AS b").distinct(), "stars")
-    linked = stored(_similar(stars, sets), "links")
-    grouped = held.join(components(linked).withColumnRenamed("node", "sid"), "sid", "left").selectExpr(
-        "key", "sid", "n", "coalesce(root, sid) AS root")
-    grouped = stored(grouped, "grouped")
-    mixed = grouped.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
-        "x <> y").select("key")
-    left = grouped.join(mixed, "key")
-    rest = (left.selectExpr("key", "sid AS a", "n AS na", "root AS ra")
-            .join(grouped.selectExpr("key", "sid AS b", "n AS nb", "root AS rb"), "key")
-            .where("a < b AND ra <> rb AND 5 * na >= 4 * nb AND 5 * nb >= 4 * na")
-            .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    found = linked.union(_similar(stored(rest, "candidates"), sets))
-    return equal.union(
-        found.join(leaders.selectExpr("sid AS a", "node AS x"), "a")
-        .join(leaders.selectExpr("sid AS b", "node AS y"), "b").selectExpr("x AS a", "y AS b"))
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each component, with all columns.
 
+    The row with the smallest id stays, nulls last; of equal ids the one with the smaller
+    text hash, and one of rows that are alike in both.  Null and empty texts have
+    fingerprint zero and are linked like any other.  An empty table stays empty.
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, one of each group of near-duplicates, with all columns.
-
-    A group is what can be reached over links: equal texts, fingerprints within
-    ``MAX_DIFF`` bits, and texts with a five-word similarity of ``SIMILAR`` (a
-    fingerprint of 64 bits alone sees few of these).  The row with the smallest
-    id stays, nulls last, of equal ids the one with the smaller text hash.
-    Rows of equal text are reduced to one in each task before they are shuffled,
-    so many copies are no large group.
+    Rows are numbered while their fingerprints are written, so a row is found again by its
+    number: no group of copies comes together, only the best number of each fingerprint.
     """
-    bounded(docs.sparkSession)
-    columns = docs.columns
-    node = F.md5(utf8(text))
-    rows = docs.select(node.alias("node"), F.col(doc_id).alias("doc_id"), utf8(text).alias("data"))
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows.select("node", "data")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [x.as_py() for x in batch.column("data")]
-            sets = [_shingle_set(t) for t in texts]
-            names = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("doc_id"),
-                 pa.array([fingerprint(t) for t in texts], pa.int64()),
-                 pa.array(names.view(np.int64)), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([rare_shingles(x, *common.value).view(np.int64) for x in sets],
-                          pa.list_(pa.int64()))],
-                names=["node", "doc_id", "fp", "sid", "n", "keys"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    prints = rows.mapInArrow(run, f"node string, doc_id {kind}, fp bigint, sid bigint, n bigint, "
-                             "keys array<bigint>")
-    # A row for each text.
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
-    prints = stored(prints.groupBy("node").agg(
-        F.first("fp").alias("fp"), F.first("sid").alias("sid"), F.first("n").alias("n"),
-        F.first("keys").alias("keys"), F.min(rank).alias("rank")),
-        "fingerprints")
-    # Texts with linked fingerprints: each is linked with the first text of its fingerprint,
-    # and these with each other.
-    firsts = stored(prints.groupBy("fp").agg(F.min("node").alias("node")), "firsts")
-    same = prints.join(firsts.withColumnRenamed("node", "b"), "fp").where("node <> b").selectExpr(
-        "node AS a", "b")
-    near = (links(firsts.select("fp"))
-            .join(firsts.selectExpr("fp AS a", "node AS x"), "a")
-            .join(firsts.selectExpr("fp AS b", "node AS y"), "b").selectExpr("x AS a", "y AS b"))
-    similar = similar_texts(rows.select("node", "data"), prints.select("node", "sid", "n", "keys"))
-    known = stored(components(same.union(near).union(similar)), "roots")
-    named = prints.select("node", "rank").join(known, "node", "left").withColumn(
-        "root", F.expr("coalesce(root, node)"))
-    best = stored(named.groupBy("root").agg(F.min_by("node", F.struct("rank", "node")).alias("node"))
-                  .select("node"), "kept")
-    key, row, order = unused(docs, "key", "row", "order")
-    folded = docs.select(
-        node.alias(key), F.struct(*[F.col(f"`{c}`") for c in columns]).alias(row),
-        F.struct(F.col(doc_id).isNull(), F.col(doc_id)).alias(order)
-    ).groupBy(key).agg(F.min_by(row, order).alias(row))
-    return folded.join(best.withColumnRenamed("node", key), key, "left_semi").select(
-        *[F.col(row)[c].alias(c) for c in columns])
+    fp, uid, node = unused(docs, "fp", "uid", "node")
+    rows = docs.withColumns({uid: F.monotonically_increasing_id(), node: F.md5(utf8(text))})
+    rows = stored(with_fingerprint(rows, text, fp), "fingerprints")
+    rank = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"),
+                    F.col(node).alias("node"), F.col(uid).alias("uid"))
+    firsts = stored(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(rank).alias("rank")), "firsts")
+    best = (firsts.join(clusters(firsts), "fp", "left")
+            .groupBy(F.expr("coalesce(root, fp)").alias("root")).agg(F.min("rank").alias("rank")))
+    kept = stored(best.select(F.col("rank.uid").alias(uid)), "kept")
+    return rows.join(kept, uid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
