@@ -15,27 +15,46 @@ from tillroll.llm.common import table
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose predicted severity is not rejected (operator 10)."""
+    """Documents whose predicted severity is not rejected (operator 10).
+
+    Null and empty texts and repeated rows are judged like any other and stay where they are
+    clean; without labels nothing is rejected.  An empty table stays empty, in each stage.
+    """
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group (operator 1)."""
+    """The document of the smallest id of each near-duplicate group (operator 1).
+
+    Groups are the components of fingerprints of three-word shingles within two bits, those
+    of null and empty texts included.  Of repeated rows one stays; null ids come last.
+    """
     return simhash.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap with no benchmark item (operator 9)."""
+    """Documents that overlap with no benchmark item (operator 9).
+
+    Null and empty texts overlap with nothing and stay, as do all without a benchmark;
+    repeated rows are judged alike.
+    """
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources takes them (operator 8)."""
+    """Documents as often as the mix of their sources takes them (operator 8).
+
+    Null is a source.  Null and empty texts have no words and come with the documents around
+    them in the hash order; repeated rows count each; equal hashes are in open order.
+    """
     return mixing.mixed(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shard and slot (operator 6)."""
+    """The documents with their shard and slot (operator 6).
+
+    Equal texts, null texts too, are drawn together; repeated rows get a slot each.
+    """
     return sharding.with_shard(docs)
 
 
