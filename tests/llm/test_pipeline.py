@@ -89,4 +89,5 @@ def test_registered():
     for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
-    assert {"op3_warc_round_trip", "op8_source_mix"} <= set(entry_points.oracle_sql())
+    assert {"op3_warc_round_trip", "op8_source_mix", "op11_fill_in_middle", "op12_url_verdicts",
+            "op13_centroid_clusters"} <= set(entry_points.oracle_sql())

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tillroll.llm import (
+    centroids,
     decontamination,
+    fill_middle,
     html_text,
     mixing,
     quality,
@@ -17,6 +19,7 @@ from tillroll.llm import (
     simhash,
     tokens,
     toxicity,
+    url_filter,
     warc,
 )
 from tillroll.llm.common import table
@@ -87,6 +90,30 @@ def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+@_query
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.fill_middle(table(spark, folder, "documents"))
+
+
+ORACLES["op11_fill_in_middle"] = fill_middle.ORACLE
+
+
+@_query
+def op12_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, folder, "pages"))
+
+
+ORACLES["op12_url_verdicts"] = url_filter.ORACLE
+
+
+@_query
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, folder, "embeddings"))
+
+
+ORACLES["op13_centroid_clusters"] = centroids.ORACLE
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
