@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +72,24 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         for name in made:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Send the package to the Python workers, once for an application.
+
+    They then need neither an installed copy nor the driver's search path.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        # The driver serves the archive from this place as long as it runs.
+        folder = tempfile.mkdtemp(prefix="tillroll-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(
+            f"{folder}/{package.name}-{context.applicationId}", "zip", package.parent,
+            package.name))
+        _shipped.add(context.applicationId)
+    return spark

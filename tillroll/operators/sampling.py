@@ -40,27 +40,30 @@ def hash_sample(df: DataFrame, n: int, columns: Sequence[str] | None = None) ->
     Stands in for an unseeded random order: evenly spread, and the same rows
     on every run, so a retried task cannot change the sample.
 
-    The hashed rows are written once.  Hashes are spread evenly, so a share of
-    the range that is a little more than n rows' share holds the n smallest
-    ones; if it does not (copies share a hash), twice the share is looked at.
-    Copies of a row are folded into a count, and running counts over parts of
-    the hash range tell how many of each are taken.
+    ``df`` is read twice and never copied: a count tells which share of the hash
+    range holds a little more than n rows, and only rows of that share are written, copies
+    folded into a count.  If the share holds too few (copies have one hash), twice the share
+    is looked at.  Running counts over parts of the share tell how many of each are taken.
     """
     keys = list(columns or df.columns)
     order = ["_hash", *keys, *[c for c in df.columns if c not in keys]]
-    hashed = stored(df.withColumn("_hash", row_hash(keys)), "hashed")
-    share = (n + 8 * n ** 0.5 + 64) / max(hashed.count(), 1)
-    few = hashed.where(F.col("_hash") < _below(share))
-    while share < 1 and few.count() < n:
-        share *= 2
+    hashed = df.withColumn("_hash", row_hash(keys))
+    share = (n + 8 * n ** 0.5 + 64) / max(df.count(), 1)
+    while True:
         few = hashed.where(F.col("_hash") < _below(share))
-    folded = few.groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return _first_with_copies(stored(folded, "folded"), order, n, min(share, 1.0)).select(*df.columns)
+        folded = stored(few.groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("_copies")), "sample")
+        held = folded.agg(F.count(F.lit(1)).alias("rows"), F.sum("_copies").alias("copies")).first()
+        if share >= 1 or (held["copies"] or 0) >= n:
+            break
+        share *= 2
+    chosen = _first_with_copies(folded, order, n, min(share, 1.0), held["rows"])
+    return chosen.select(*df.columns)
 
 
-def _first_with_copies(folded: DataFrame, order: Sequence[str], n: int, share: float) -> DataFrame:
+def _first_with_copies(folded: DataFrame, order: Sequence[str], n: int, share: float,
+                       rows: int) -> DataFrame:
     """The first ``n`` rows in ``order``, by running counts over parts of the hash range."""
-    parts = max(1, -(-folded.count() // _PART_ROWS))
+    parts = max(1, -(-rows // _PART_ROWS))
     number = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double") / 2 ** 48
     cut = folded.withColumn("_part", F.floor(number / share * parts))
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(

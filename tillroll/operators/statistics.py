@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from tillroll.functions.workspace import stored
-from tillroll.operators.cumulative import BUCKET_ROWS, prefix_sums
+from tillroll.operators.frequent import most_frequent
+from tillroll.operators.selection import BUCKETS, quantiles
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -77,34 +76,6 @@ def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*statistics)))
 
 
-def value_weights(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-NULL values with their row counts, stored for reuse."""
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    return stored(counts, f"values-{column}")
-
-
-def quantiles_of(weights: DataFrame, column: str, points: dict[str, float], *,
-                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Exact discrete quantiles: the first value whose cumulative share is p.
-
-    Memory per task does not depend on the wanted accuracy, unlike a sketch.
-    """
-    reached = prefix_sums(
-        weights, column, "rows", "_reached", bucket_rows=bucket_rows
-    )
-    total = weights.agg(F.sum("rows").alias("n")).scalar()
-    return reached.agg(
-        *[
-            F.min(F.when(F.col("_reached") >= F.ceil(total * p), F.col(column))).alias(name)
-            for name, p in points.items()
-        ]
-    )
-
-
 QUARTILES = {"Q1": 0.25, "median": 0.5, "Q3": 0.75}
 
 
@@ -145,21 +116,20 @@ def sketch_holds(df: DataFrame, summary: DataFrame, column: str = "OrderAmount",
 
 
 def exact_summary(df: DataFrame, column: str = "OrderAmount", *,
-                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Same columns with exact quartiles; the input is scanned once."""
-    weights = value_weights(df, column)
-    quartiles = quantiles_of(weights, column, QUARTILES, bucket_rows=bucket_rows)
-    reach = weights.agg(
+                  buckets: int = BUCKETS) -> DataFrame:
+    """Same columns with exact quartiles.
+
+    The input is evaluated once, for this one column; the quartiles are
+    found by refining histograms, so no pass sorts or moves the values.
+    """
+    values = stored(df.select(column), f"values-{column}")
+    found = quantiles(values, column, QUARTILES, buckets=buckets).get(None, {})
+    kind = values.schema[column].dataType
+    return values.agg(
         F.min(column).alias("min"),
         F.max(column).alias("max"),
-        F.round(F.sum(F.col(column) * F.col("rows")) / F.sum("rows"), 1).alias("avg"),
-    )
-    return reach.select(
-        "*",
-        *[
-            F.round(quartiles.select(name).scalar(), 1).alias(name)
-            for name in QUARTILES
-        ],
+        F.round(F.avg(column), 1).alias("avg"),
+        *[F.round(F.lit(found.get(name)).cast(kind), 1).alias(name) for name in QUARTILES],
     )
 
 
@@ -168,23 +138,22 @@ def histogram(df: DataFrame, column: str = "OrderAmount", bins: int = 50) -> Dat
 
     Each bin is closed below and open above; the last one is closed.  When all
     values are equal the range is widened by half a unit on each side.
+
+    The input is evaluated once, for this one column.  First the extremes, then
+    every row's bin, folded in each task: at most ``bins`` rows a task are moved.
     """
-    weights = value_weights(df, column)
-    ends = weights.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    values = stored(df.select(column).where(F.col(column).isNotNull()), f"values-{column}")
+    ends = values.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
     widen = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
     ends = ends.select(
         F.struct((F.col("lo") - widen).alias("lo"), (F.col("hi") + widen).alias("hi")).alias("e")
     )
-    placed = weights.select(F.col(column), "rows", ends.scalar().alias("e")).select(
-        F.least(
-            F.floor(
-                (F.col(column) - F.col("e.lo")) / (F.col("e.hi") - F.col("e.lo")) * bins
-            ),
-            F.lit(bins - 1),
-        ).alias("bin"),
-        "rows",
+    place = F.floor((F.col(column) - F.col("e.lo")) / (F.col("e.hi") - F.col("e.lo")) * bins)
+    counts = (
+        values.select(column, ends.scalar().alias("e"))
+        .groupBy(F.least(place, F.lit(bins - 1)).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    counts = placed.groupBy("bin").agg(F.sum("rows").alias("rows"))
     spark = df.sparkSession
     edges = spark.range(bins).select(
         F.col("id").alias("bin"), ends.scalar().alias("e")
@@ -243,24 +212,20 @@ def _numeric_profile(values: DataFrame, schema: T.StructType, numeric: Sequence[
     moments = means.join(spread, "column_name").select(
         "column_name", "mean",
         F.when(F.col("n") > 1, F.sqrt(F.col("s") / (F.col("n") - 1))).alias("stddev"), "min", "max")
-    quartiles = []
+    typed = {}
     for c in numeric:
-        weights = values.where((F.col("column_name") == c) & F.col("value").isNotNull()).select(
-            F.col("value").cast(schema[c].dataType).alias(c), "rows"
-        )
-        one = quantiles_of(weights, c, QUARTILES)
-        quartiles.append(
-            one.select(F.lit(c).alias("column_name"), *[F.col(q).cast("double").alias(q) for q in QUARTILES])
-        )
-    return moments.join(reduce(DataFrame.unionByName, quartiles), "column_name")
+        typed.setdefault(schema[c].dataType, []).append(c)
+    found = {}
+    for kind, columns in typed.items():
+        own = values.where(F.col("column_name").isin(columns)).withColumn(
+            "v", F.col("value").cast(kind))
+        found |= quantiles(own, "v", QUARTILES, weight="rows", group="column_name")
+    quartiles = values.sparkSession.createDataFrame(
+        [(c, *[float(at[q]) for q in QUARTILES]) for c, at in found.items()],
+        "column_name string, " + ", ".join(f"{q} double" for q in QUARTILES))
+    return moments.join(quartiles, "column_name")
 
 
 def top_values(df: DataFrame, columns: Sequence[str], top: int = 10) -> DataFrame:
-    """The most frequent values per column, each column by a bounded top-k."""
-    values = stored(column_values(df, columns), "values")
-    rank = Window.orderBy(F.col("rows").desc(), F.col("value"))
-    return reduce(DataFrame.unionByName, [
-        values.where(F.col("column_name") == c).orderBy(F.col("rows").desc(), F.col("value"))
-        .limit(top).withColumn("rank", F.row_number().over(rank))
-        for c in columns
-    ])
+    """The most frequent values per column, exact, by bounded summaries of each task."""
+    return most_frequent(df, columns, top)

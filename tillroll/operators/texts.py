@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.fixed_values import EXTRA_STOP_WORDS
 from tillroll.functions.text import bigrams, drop_words, words
+from tillroll.operators.frequent import most_frequent
 from tillroll.operators.revenue import largest_first
 
 
@@ -50,7 +51,14 @@ def bigram_counts(df: DataFrame, text: str = "Description") -> DataFrame:
 
 
 def top_bigrams(df: DataFrame, text: str = "Description", top: int = 100) -> DataFrame:
-    return largest_first(bigram_counts(df, text), "count", "bigram", top=top)
+    """The most frequent bigrams.  Texts are taken apart where they are read, and only
+    each task's summary of the bigrams is moved."""
+    lines = with_bigrams(with_clean_words(with_words(df.select(text), text)))
+    found = most_frequent(
+        lines.select(F.explode_outer("bigrams").alias("bigram")), ["bigram"], top, nulls=False)
+    return largest_first(
+        found.select(F.col("value").alias("bigram"), F.col("rows").alias("count")),
+        "count", "bigram", top=top)
 
 
 def distinct_descriptions(df: DataFrame, first: int = 10) -> DataFrame:

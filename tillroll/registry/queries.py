@@ -671,7 +671,7 @@ def _(spark, folder):
 
 @query("a16_order_amount_summary_distributed")
 def _(spark, folder):
-    return statistics.exact_summary(phase2(spark, folder), bucket_rows=500)
+    return statistics.exact_summary(phase2(spark, folder), buckets=4)
 
 
 @query("a16_order_amount_summary_sketch")
