@@ -93,7 +93,7 @@ def partition_benchmark(spark: SparkSession, gold_path: str, fmt: str = "version
     write_layer(gold, sibling, partition_cols=("Country", "Continent"), fmt=files)
     register_views(
         phase4=gold,
-        sales_per_country_continent=spark.read.format(files).load(sibling),
+        sales_per_country_continent=read_layer(spark, sibling, files),
     )
     return benchmark_layouts(spark)
 

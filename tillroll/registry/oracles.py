@@ -336,7 +336,7 @@ _CATEGORY_COUNTS = (
 
 ORACLES: dict[str, str] = {
     "s01_typed_csv": with_parts("SELECT * FROM retail", "retail"),
-    "s02_load_raw_data": with_parts("SELECT count(*) AS row_count FROM retail", "retail"),
+    "s02_load_raw_data": with_parts("SELECT * FROM retail", "retail"),
     "s03_inferred_csv": with_parts("""
         SELECT InvoiceNo, StockCode, Description, CAST(Quantity AS INTEGER) AS Quantity,
                InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice,
@@ -355,13 +355,23 @@ ORACLES: dict[str, str] = {
         SELECT InvoiceNo, round(OrderAmount, 2) AS OrderAmount FROM phase2
         WHERE {_SAMPLE_HASH} < '199999999999'""", "phase2"),
     "k01_write_layer_partitioned": with_parts(_BY_SEGMENT, "gold"),
-    "k02_named_table_overwrite": with_parts("SELECT count(*) AS row_count FROM phase1", "phase1"),
+    "k01_any_partition_text": with_parts("""
+        SELECT * REPLACE (CASE WHEN UnitPrice = '0.0' THEN '' ELSE Quantity END AS Quantity)
+        FROM retail""", "retail"),
+    "k02_named_table_overwrite": with_parts(_ROUNDED.format("phase1"), "phase1"),
     "k03_partitioned_by_country_continent": with_parts(_revenue("Country", "phase4"), "phase4"),
     "k04_partitioned_by_continent_category": with_parts(
         _CATEGORY_COUNTS.format("phase4"), "phase4"),
     "k05_bucketed_by_country_shopsize": with_parts("""
         SELECT Country, Shopsize, count(*) AS lines, round(sum(OrderAmount), 2) AS total_revenue
         FROM phase4 GROUP BY Country, Shopsize""", "phase4"),
+    "k05_line_share_in_its_bucket": with_parts("""
+        SELECT InvoiceNo, ItemCode, CustomerID, Country, Shopsize, round(OrderAmount
+                 / sum(OrderAmount) OVER (PARTITION BY Country, Shopsize), 9) AS share
+        FROM phase4""", "phase4"),
+    "k05_rows_of_one_bucket": with_parts("""
+        SELECT InvoiceNo, ItemCode, CustomerID, round(OrderAmount, 2) AS OrderAmount
+        FROM phase4 WHERE Country = 'France' AND Shopsize = 'Big'""", "phase4"),
     "k06_partitioned_copy_one_country": with_parts(
         _revenue("Country", "(SELECT * FROM gold WHERE Country = 'France')"), "gold"),
     "k06_partitioned_copy_all_countries": with_parts(_revenue("Country", "gold"), "gold"),
@@ -601,5 +611,12 @@ ORACLES: dict[str, str] = {
         SELECT 'bronze' AS layer, count(*) AS row_count FROM retail
         UNION ALL SELECT 'silver', count(*) FROM silver
         UNION ALL SELECT 'gold', count(*) FROM silver WHERE UnitPrice > 0 AND Quantity > 0""",
-        "retail", "silver"),
+        "retail", "silver"),    "o03_layer_rows": with_parts(" UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, InvoiceNo, StockCode AS code, Description, "
+        f"CAST(Quantity AS INTEGER) AS Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice, "
+        f"CustomerID, Country, {amount} AS OrderAmount FROM {rows}"
+        for layer, rows, amount in (
+            ("bronze", "retail", "CAST(NULL AS DOUBLE)"), ("silver", "silver", "CAST(NULL AS DOUBLE)"),
+            ("gold", "silver WHERE UnitPrice > 0 AND Quantity > 0",
+             "round(Quantity * UnitPrice, 2)"))), "retail", "silver"),
 }

@@ -91,13 +91,15 @@ _gold_paths: dict[tuple, str] = {}
 def _state(spark: SparkSession, folder: str) -> tuple:
     """Session, folder, and the files in it with size and time: what is built from
     them is built again when they change."""
-    def files(name: str) -> DataFrame:
-        meta = "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
-        return spark.read.parquet(f"{folder}/{name}.parquet").select(*meta).distinct()
-
-    seen = reduce(DataFrame.unionByName, [files(name) for name in _STAR]).agg(
-        F.count("*"), F.expr("bit_xor(xxhash64(*))")).first()
-    return (spark.sparkContext.applicationId, folder, *seen)
+    files = spark._jvm.org.apache.hadoop.fs.Path
+    found = []
+    for name in _STAR:
+        path = files(f"{folder}/{name}.parquet")
+        listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while listed.hasNext():
+            file = listed.next()
+            found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return (spark.sparkContext.applicationId, folder, hash(tuple(sorted(found))))
 
 
 def built_phases(spark: SparkSession, folder: str) -> flow.Phases:
@@ -144,7 +146,7 @@ def _(spark, folder):
 
 @query("s02_load_raw_data")
 def _(spark, folder):
-    return statistics.row_count(readers.load_raw_data(spark, _csv_copy(spark, folder)))
+    return readers.load_raw_data(spark, _csv_copy(spark, folder))
 
 
 @query("s03_inferred_csv")
@@ -207,13 +209,23 @@ def _(spark, folder):
     return rounded(revenue.sales_by_purchase_segment(layer), "total_revenue")
 
 
+@query("k01_any_partition_text")
+def _(spark, folder):
+    # Partition text that looks like a number, that is empty, and none.
+    path = fresh_path(spark, "lines-by-quantity")
+    lines = retail_lines(spark, folder).withColumn(
+        "Quantity", F.when(F.col("UnitPrice") == "0.0", "").otherwise(F.col("Quantity")))
+    writers.write_layer(lines, path, partition_cols=("Quantity",))
+    return readers.read_layer(spark, path, "parquet").select(*lines.columns)
+
+
 @query("k02_named_table_overwrite")
 def _(spark, folder):
     name = _name("phase1")
     path = fresh_path(spark, name)
-    lines = phase1(spark, folder)
+    lines = phase1(spark, folder, "Description", "InvoiceDate", "Country")
     writers.save_named(lines.limit(1), name, path=path)
-    return statistics.row_count(writers.save_named(lines, name, path=path))
+    return rounded(writers.save_named(lines, name, path=path), "OrderAmount")
 
 
 def _phase4(spark, folder) -> DataFrame:
@@ -252,6 +264,30 @@ def _(spark, folder):
     )
 
 
+def _bucketed(spark, folder) -> str:
+    name = _name("sales_clus_country_shopsize")
+    writers.save_bucketed(
+        _phase4(spark, folder), name, ("Country", "Shopsize"), path=fresh_path(spark, name))
+    return name
+
+
+@query("k05_line_share_in_its_bucket")
+def _(spark, folder):
+    # Grouped and joined by the bucket columns: no exchange.
+    table = spark.table(_bucketed(spark, folder))
+    totals = table.groupBy("Country", "Shopsize").agg(F.sum("OrderAmount").alias("total"))
+    return table.join(totals, ["Country", "Shopsize"]).select(
+        "InvoiceNo", "ItemCode", "CustomerID", "Country", "Shopsize",
+        F.round(F.col("OrderAmount") / F.col("total"), 9).alias("share"))
+
+
+@query("k05_rows_of_one_bucket")
+def _(spark, folder):
+    rows = writers.bucket_rows(
+        spark, _bucketed(spark, folder), Country="France", Shopsize="Big")
+    return rounded(rows.select("InvoiceNo", "ItemCode", "CustomerID", "OrderAmount"), "OrderAmount")
+
+
 @query("k06_partitioned_copy_one_country")
 def _(spark, folder):
     path = fresh_path(spark, "gold-partitioned")
@@ -1028,3 +1064,23 @@ def _(spark, folder):
         for name in ("bronze", "silver", "gold")
     ]
     return reduce(DataFrame.unionByName, layers)
+
+
+@query("o03_layer_rows")
+def _(spark, folder):
+    out = fresh_path(spark, "layers")
+    medallion.build_layers(
+        spark, retail_lines(spark, folder), out,
+        to_gold=lambda silver: cleaning.keep_positive(silver, "UnitPrice", "Quantity"))
+
+    def layer(name: str) -> DataFrame:
+        rows = readers.read_layer(spark, f"{out}/{name}")
+        code = "ItemCode" if name == "gold" else "StockCode"
+        amount = F.round("OrderAmount", 2) if name == "gold" else F.lit(None).cast("double")
+        return rows.select(
+            F.lit(name).alias("layer"), "InvoiceNo", F.col(code).alias("code"), "Description",
+            F.col("Quantity").cast("int").alias("Quantity"),
+            F.col("UnitPrice").cast("double").alias("UnitPrice"), "CustomerID", "Country",
+            amount.alias("OrderAmount"))
+
+    return reduce(DataFrame.unionByName, [layer(name) for name in ("bronze", "silver", "gold")])

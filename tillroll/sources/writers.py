@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.partitions import encoded
+
 
 def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with equal layout columns together, in pieces of even size.
@@ -20,9 +24,12 @@ def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_cols: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """Save by path, optionally in directories per partition value."""
+    """Save by path, optionally in directories per partition value.
+
+    Partition text is encoded, so that ``read_layer`` gives back any text.
+    """
     if partition_cols:
-        _balanced(df, partition_cols).write.format(fmt).mode(mode).partitionBy(
+        encoded(_balanced(df, partition_cols), partition_cols).write.format(fmt).mode(mode).partitionBy(
             *partition_cols
         ).save(path)
     else:
@@ -47,7 +54,11 @@ def save_partitioned(df: DataFrame, name: str, columns: Sequence[str], fmt: str
 
 def save_bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int = 8,
                   fmt: str = "parquet", path: str | None = None) -> DataFrame:
-    """Catalog table hashed into ``buckets``; kept if it exists already."""
+    """Catalog table hashed into ``buckets``; kept if it exists already.
+
+    Grouping by all of these columns, and joining on them with a table of as many buckets, needs
+    no exchange; ``bucket_rows`` reads a single bucket.
+    """
     _balanced(df, columns).write.format(fmt).mode("ignore").bucketBy(
         buckets, *columns
     ).options(**_location(path)).saveAsTable(name)
@@ -58,6 +69,35 @@ def list_partitions(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name})
 
 
+def bucket_layout(spark: SparkSession, name: str) -> tuple[list[str], int]:
+    """Bucket columns and number of buckets of a catalog table; none and 0 without buckets."""
+    rows = spark.sql("DESCRIBE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    told = {r["col_name"]: r["data_type"] for r in rows.where(
+        F.col("col_name").isin("Num Buckets", "Bucket Columns")).collect()}
+    if "Num Buckets" not in told:
+        return [], 0
+    return re.findall(r"`((?:[^`]|``)+)`", told["Bucket Columns"]), int(told["Num Buckets"])
+
+
+def bucket_rows(spark: SparkSession, name: str, **values) -> DataFrame:
+    """The rows of a bucketed table with these values in all its bucket columns.
+
+    Spark skips buckets only where there is a single bucket column.  Here the bucket of the
+    values is computed as the writer computed it, and a filter on the file name, which is known
+    before any file is opened, leaves the files of that bucket.  None finds NULL.
+    """
+    columns, buckets = bucket_layout(spark, name)
+    if not columns or set(columns) != set(values):
+        raise ValueError(f"{name} has the bucket columns {columns}, not {sorted(values)}")
+    table = spark.table(name)
+    typed = {c: F.lit(values[c]).cast(table.schema[c].dataType) for c in columns}
+    number = spark.range(1).select(
+        F.pmod(F.hash(*[typed[c] for c in columns]), F.lit(buckets))).first()[0]
+    of_bucket = F.col("_metadata.file_name").rlike(f"_{number:05d}([.]|$)")
+    same = [F.col(c).eqNullSafe(typed[c]) for c in columns]
+    return table.where(of_bucket).where(reduce(lambda a, b: a & b, same))
+
+
 def bucket_contents(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per bucket and per combination of the bucket columns in it.
 

@@ -13,7 +13,8 @@ What a version costs:
   several deletes in a row share one pass and one copy;
 * checks are counted while the new rows are written, so there is no extra pass.
 
-A table may be partitioned by columns, which all later versions keep.
+A table may be partitioned by columns, which all later versions keep.  Any text
+is a partition value, the empty one too (``functions/partitions.py``).
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.partitions import encoded, restored
 from tillroll.functions.predicates import survives_delete
+from tillroll.operators.membership import possible_partners
 
 _RECORD = (
     "version BIGINT, timestamp TIMESTAMP, operation STRING, "
@@ -150,7 +153,7 @@ class VersionedTable:
         marked = self._frame(last).withColumn(_STEP, mark).observe(
             seen, *[F.count_if(F.col(_STEP) == i).alias(str(i)) for i in range(len(predicates) + 1)])
         # What the first delete removes is in the older version only.
-        marked.where(F.col(_STEP) > 0).write.partitionBy(_STEP, *layout).parquet(
+        encoded(marked.where(F.col(_STEP) > 0), layout).write.partitionBy(_STEP, *layout).parquet(
             f"{self.root}/{path}")
         deleted = [seen.get[str(i)] for i in range(len(predicates) + 1)]
         parts = [{"path": f"{path}/{_STEP}={i}", "schema": schema.json()} if n else None
@@ -167,10 +170,12 @@ class VersionedTable:
 
         Plain equality: a NULL key never matches, so its row is inserted.
         Matched rows stay as they are and repeated source rows are all
-        inserted.  Both join inputs come straight from their exchange, which
+        inserted.  A filter of fixed size over the source's keys, which are read once
+        more for it, keeps table rows that can have no partner from being moved.
+        Both join inputs come straight from their exchange, which
         lets adaptive execution split a hot key of the source.
         """
-        known = self.read().select(*keys)
+        known = possible_partners(self.read().select(*keys), source, keys)
         fresh = source.join(known, on=list(keys), how="left_anti").select(*source.columns)
         return self.append(
             fresh, "MERGE", {"keys": ",".join(keys), "notMatched": "insert"}
@@ -253,9 +258,9 @@ class VersionedTable:
         """
         path = f"data/{uuid.uuid4().hex}"
         seen = Observation(uuid.uuid4().hex)
-        df.observe(
+        encoded(df.observe(
             seen, F.count(F.lit(1)).alias("row_count"), *check_counters(checks), *gate
-        ).write.partitionBy(*layout).parquet(f"{self.root}/{path}")
+        ), layout).write.partitionBy(*layout).parquet(f"{self.root}/{path}")
         counts = dict(seen.get)
         _raise_if_broken(counts)
         return {"path": path, "schema": df.schema.json()}, counts
@@ -268,7 +273,8 @@ class VersionedTable:
             own = part["path"] if _layout(record) else ""
             alike.setdefault((part["schema"], own), []).append(f"{self.root}/{part['path']}")
         frames = [
-            _completed(self.spark.read.schema(_schema(schema)).parquet(*paths), columns)
+            _completed(restored(self.spark.read.schema(_schema(schema)).parquet(*paths),
+                                _layout(record)), columns)
             for (schema, _), paths in alike.items()
         ]
         return reduce(DataFrame.unionByName, frames) if frames else (
