@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+
 from tillroll.llm import decontamination as d
 
 DOCS = "doc_id long, text string, item_id string, data int, key int"
@@ -34,11 +36,82 @@ def test_short_items_with_replaced_words():
     for n in range(d.SHORTEST, 16):
         item = words(rng, n)
         hashed = d.Words()
-        held = d.Items([(1, hashed(" ".join(item).encode()))])
+        held = hashed(" ".join(item).encode())
         for replaced in itertools.combinations(range(n), n // 5):
             text = ["other" if i in replaced else w for i, w in enumerate(item)]
             text = " ".join(words(rng, 5) + text + words(rng, 5))
-            assert list(held.overlaps(hashed(text.encode()))) == [0], (n, replaced)
+            assert d.overlap(hashed(text.encode()), held)[2] == 5, (n, replaced)
+
+
+def test_items_under_eight_words_are_found_as_they_are(spark):
+    rng = random.Random(4)
+    known = [words(rng, n) for n in range(1, 8)]
+    rows = []
+    for item in known:
+        rows.append((" ".join(words(rng, 9) + item + words(rng, 3)), item))
+        if len(item) > 1:
+            rows.append((" ".join(words(rng, 9) + item[:-1] + ["other"] + words(rng, 3)), None))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    items = spark.createDataFrame([(len(i), " ".join(i).upper()) for i in known], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.equal_words, r.first_word, r.item_share)
+           for r in d.overlaps(docs, items).collect()}
+    assert got == {(i, len(item), len(item), 9, 1.0) for i, (_, item) in enumerate(rows) if item}
+    # Only whole items of five words or more are evidence against a document.
+    kept = {r.doc_id for r in d.without_leaks(docs, items).collect()}
+    assert kept == {i for i, (_, item) in enumerate(rows) if not item or len(item) < 5}
+
+
+def plain_overlaps(words_, item):
+    """Any offset that gives a verified overlap, without seeds."""
+    for offset in range(-len(item) + 1, len(words_)):
+        same = [words_[i + offset] == w for i, w in enumerate(item) if 0 <= i + offset < len(words_)]
+        if sum(same) >= (0.8 if len(item) >= 8 else 1) * len(item):
+            return True
+        for low in range(len(same)):
+            for high in range(low + 13, len(same) + 1):
+                equal = sum(same[low:high])
+                # At most two replaced words in each 13 of it, which the masks promise to find.
+                if equal >= 13 and all(sum(same[i:i + 13]) >= 11 for i in range(low, high - 12)):
+                    return True
+    return False
+
+
+def test_equals_all_offsets_without_seeds(spark):
+    rng = random.Random(12)
+    items = [words(rng, n) for n in (3, 6, 8, 11, 14, 25, 40)]
+    rows = []
+    for _ in range(70):
+        item = list(rng.choice(items))
+        low = rng.randrange(len(item) // 2 + 1) if rng.random() < .4 else 0
+        item = item[low:]
+        for _ in range(rng.randrange(1 + len(item) // 4)):
+            item[rng.randrange(len(item))] = "other"
+        rows.append(words(rng, rng.randrange(12)) + item + words(rng, rng.randrange(12)))
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.overlaps(docs, known).collect()}
+    want = {(i, k) for i, r in enumerate(rows) for k, t in enumerate(items) if plain_overlaps(r, t)}
+    assert want <= got
+    # What else is found is an overlap by its own figures.
+    assert all(r.equal_words >= 13 and r.equal_words >= 0.8 * r.words or r.item_share >= 0.8
+               for r in d.overlaps(docs, known).collect())
+
+
+def test_filter_keeps_every_seed():
+    rng = np.random.default_rng(2)
+    made = rng.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2)
+    held = np.zeros(d.FILTER_BITS // 64, dtype=np.uint64)
+    for shift in d._shifts(d.FILTER_BITS):
+        place = (made >> np.uint64(shift)) & np.uint64(d.FILTER_BITS - 1)
+        np.bitwise_or.at(held, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+    assert (d.in_filter(held, made) == made).all()
+    assert len(d.in_filter(held, rng.integers(0, 1 << 63, 100_000).astype(np.uint64))) < 5
+
+
+def test_repeated_words_make_no_pairs_of_places():
+    hashed = d.Words()
+    text, item = hashed(b"x " * 60_000), hashed(b"x " * 200)
+    assert d.overlap(text, item)[:2] == (200, 200)
 
 
 def corpus():
@@ -55,8 +128,7 @@ def corpus():
             shown = [w.upper() + rng.choice(["", ",", ".", '"']) for w in text]
             rows.append((len(rows), " ".join(words(rng, 30)) + "\n" + " \t".join(shown) + " "
                          + " ".join(words(rng, 30))))
-            if len(item) >= d.SHORTEST:
-                leaks.setdefault(rows[-1][0], set()).add(k)
+            leaks.setdefault(rows[-1][0], set()).add(k)
     # Thirteen words of a long item are an overlap, twelve are not.
     rows.append((500, " ".join(words(rng, 9) + items[6][200:213] + words(rng, 9))))
     leaks[500] = {6}
@@ -77,8 +149,9 @@ def frames(spark):
 
 def test_overlaps(spark, monkeypatch):
     docs, items, leaks, _ = frames(spark)
-    for block in (d.BLOCK_WORDS, 40):
-        monkeypatch.setattr(d, "BLOCK_WORDS", block)
+    for bits in (d.FILTER_BITS, 1 << 12):
+        # A filter that is full lets all pass and loses nothing.
+        monkeypatch.setattr(d, "FILTER_BITS", bits)
         got = {}
         for r in d.overlaps(docs, items).collect():
             assert r.equal_words >= 0.8 * r.words and (r.equal_words >= 13 or r.item_share >= 0.8)

@@ -7,16 +7,21 @@ passage of 13 leave a hit.  Items of at most ``SEGMENTED`` words are also cut in
 more segment than a fifth of their words, so one segment stays whole.  Each hit gives a place of the item in the text; along it
 the best agreeing stretch, replaced words allowed, is taken.  It is an overlap if it has
 ``MIN_WORDS`` equal words and at most a fifth of its words differ; so is the
-whole item if at most a fifth of its words differ.
-
-Training hashes are never shuffled.  The items are the stated query set: they
-are met in blocks of a bounded number of words, each broadcast to a scan.
+whole item if at most a fifth of its words differ.  Items under ``SHORTEST`` words are
+overlaps where they stand whole and unchanged.
+
+1. Items become a table of words and a table of seeds.  A bit array of fixed size over the
+   seeds (a Bloom filter) is broadcast.
+2. One scan reads each text once, whatever the number of items, and keeps the words and
+   seeds of texts with a seed in the filter.  Equal texts are one from here on.
+3. These seeds and the items' are joined in Spark; a pair of text and item with a common seed is
+   checked word by word, with the words from the tables.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,25 +31,25 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.workspace import stored
 from tillroll.llm.common import bounded, unused, utf8, word_blocks
-from tillroll.llm.prefix import random_key, with_prefix
 
 SPAN = 10
 # Fixed masks: the places of a window that are hashed.
 MASKS = ((0, 1, 3, 7, 8, 9), (0, 2, 3, 6, 7, 9), (0, 1, 4, 5, 6, 9))
 MIN_WORDS = 13
 MIN_SHARE = 0.8
-# Items of fewer words are too short to be evidence.
+# Items of fewer words are searched as they are, without replaced words.
 SHORTEST = 8
+# Documents go for whole items of so many words or more; fewer are common phrases.
+EVIDENCE = 5
 # Beyond so many words, a fifth replaced leaves some 13 words with at most two replaced:
 # three in each 13 would be more, 3 * (n // 13) > n // 5.
 SEGMENTED = 90
-# Words of the items that are broadcast at a time, about (an item is not split).
-BLOCK_WORDS = 1_000_000
+# Bits of the filter (8 MB, at any number of items); a seed sets three.
+FILTER_BITS = 1 << 26
 
 _EDGES = b".,;:!?\"'()[]{}<>*#$%&|-_"
 _MEMO = 500_000
 _PART = 1 << 20
-_FILTER_BITS = 22
 
 
 class Words:
@@ -76,7 +81,8 @@ def seeds(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     n = len(words) - mask[-1]
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    made = np.zeros(n, dtype=np.uint64)
+    salt = int.from_bytes(hashlib.sha256(repr(mask).encode()).digest()[:8], "little")
+    made = np.full(n, salt, dtype=np.uint64)
     for i, place in enumerate(mask):
         made += words[place:place + n] * np.uint64(0x9E3779B97F4A7C15 + 2 * i * 0x1000003D)
         made ^= made >> np.uint64(29)
@@ -86,94 +92,192 @@ def seeds(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
 
 def seeds_of(n_words: int) -> list[tuple[tuple[int, ...], list[int]]]:
     """The masks of an item and its places where each is looked up."""
+    if n_words < SHORTEST:
+        return [(tuple(range(n_words)), [0])] if n_words else []
     made = [(m, list(range(n_words - SPAN + 1))) for m in MASKS if n_words >= SPAN]
-    if SHORTEST <= n_words <= SEGMENTED:
+    if n_words <= SEGMENTED:
         parts = n_words // 5 + 1
         made.append((tuple(range(n_words // parts)), [i * n_words // parts for i in range(parts)]))
     return made
 
 
-class Items:
-    """Seeds of a block of items, sorted for lookup."""
-
-    def __init__(self, items: list[tuple[int | None, np.ndarray]]):
-        self.items = items
-        self.masks = sorted({m for n in {len(w) for _, w in items} for m, _ in seeds_of(n)})
-        self.tables = []
-        for mask in self.masks:
-            parts = []
-            for i, (_, w) in enumerate(items):
-                at = dict(seeds_of(len(w))).get(mask)
-                if at:
-                    parts.append((seeds(w, mask)[at], np.array(at), i))
-            hashes = np.concatenate([p for p, _, _ in parts])
-            owner = np.concatenate([np.full(len(p), i) for p, _, i in parts])
-            place = np.concatenate([at for _, at, _ in parts])
-            order = np.argsort(hashes, kind="stable")
-            near = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            near[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-            self.tables.append((hashes[order], owner[order], place[order], near))
-
-    def places(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place of the item's first word in the text) of all hits."""
-        found: set[tuple[int, int]] = set()
-        for mask, (hashes, owner, place, near) in zip(self.masks, self.tables, strict=True):
-            for start in range(0, len(words), _PART):
-                made = seeds(words[start:start + _PART + mask[-1]], mask)
-                at = np.flatnonzero(near[made >> np.uint64(64 - _FILTER_BITS)])
-                low = np.searchsorted(hashes, made[at], side="left")
-                high = np.searchsorted(hashes, made[at], side="right")
-                for a, lo, hi in zip(at[high > low], low[high > low], high[high > low], strict=True):
-                    found.update((int(owner[k]), start + int(a) - int(place[k]))
-                                 for k in range(lo, hi))
-        return found
-
-    def overlaps(self, words: np.ndarray) -> dict[int, tuple[int, int, int]]:
-        """item -> (equal words, words, start in the text) of its best verified overlap."""
-        best: dict[int, tuple[int, int, int]] = {}
-        for i, offset in sorted(self.places(words)):
-            item = self.items[i][1]
-            low, high = max(0, -offset), min(len(item), len(words) - offset)
-            same = item[low:high] == words[low + offset:high + offset]
-            run = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-            end = int(np.argmax(run - np.minimum.accumulate(run)))
-            start = int(np.argmin(run[:end + 1]))
-            length, equal = end - start, int(same[start:end].sum())
-            if same.sum() >= MIN_SHARE * len(item):
-                start, length, equal = 0, len(same), int(same.sum())
-            elif equal < MIN_WORDS or equal < MIN_SHARE * length:
-                continue
-            if equal > best.get(i, (0, 0, 0))[0]:
-                best[i] = (equal, length, low + offset + start)
-        return best
-
-
-def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[Items]:
-    """The items in blocks of about ``BLOCK_WORDS`` words; one is on the driver at a time."""
-    bounded(items.sparkSession)
-    rows = items.select(F.col(item_id).cast("bigint").alias("item_id"),
-                        random_key(item_id, text).alias("key"), utf8(text).alias("data"))
+def item_seeds(words: np.ndarray) -> np.ndarray:
+    """The different seeds of an item."""
+    made = [seeds(words, mask)[at] for mask, at in seeds_of(len(words))]
+    return np.unique(np.concatenate(made)) if made else np.empty(0, np.uint64)
+
+
+def _shifts(size: int) -> tuple[int, ...]:
+    """Where in a seed the numbers of its bits in a filter of this size stand."""
+    bits = size.bit_length() - 1
+    return (64 - bits, 64 - 2 * bits, 0)
+
+
+def in_filter(held: np.ndarray, made: np.ndarray) -> np.ndarray:
+    """The seeds whose bits are all set."""
+    size = 64 * len(held)
+    for shift in _shifts(size):
+        place = (made >> np.uint64(shift)) & np.uint64(size - 1)
+        made = made[(held[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)) > 0]
+    return made
+
+
+def candidates(words: np.ndarray, masks: list[tuple[int, ...]], held: np.ndarray) -> np.ndarray:
+    """The different seeds of a text that the filter has."""
+    found = [in_filter(held, seeds(words[start:start + _PART + mask[-1]], mask))
+             for mask in masks for start in range(0, len(words), _PART)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+
+
+def offsets(words: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Places of the item's first word in the text (or before it), by common seeds."""
+    hit = np.zeros(len(words) + len(item), dtype=bool)
+    for mask, at in seeds_of(len(item)):
+        places: dict[int, list[int]] = {}
+        for place, seed in zip(at, seeds(item, mask)[at].tolist(), strict=True):
+            places.setdefault(seed, []).append(place)
+        wanted = np.array(sorted(places), dtype=np.uint64)
+        for start in range(0, len(words), _PART):
+            made = seeds(words[start:start + _PART + mask[-1]], mask)
+            found = np.flatnonzero(np.isin(made, wanted))
+            for seed in np.unique(made[found]).tolist():
+                here = start + found[made[found] == np.uint64(seed)]
+                for place in places[seed]:
+                    hit[here - place + len(item)] = True
+    return np.flatnonzero(hit) - len(item)
+
+
+def overlap(words: np.ndarray, item: np.ndarray) -> tuple[int, int, int] | None:
+    """(equal words, words, start in the text) of the item's best verified overlap."""
+    best = None
+    for offset in offsets(words, item).tolist():
+        low, high = max(0, -offset), min(len(item), len(words) - offset)
+        same = item[low:high] == words[low + offset:high + offset]
+        run = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
+        end = int(np.argmax(run - np.minimum.accumulate(run)))
+        start = int(np.argmin(run[:end + 1]))
+        length, equal = end - start, int(same[start:end].sum())
+        if same.sum() >= (MIN_SHARE if len(item) >= SHORTEST else 1) * len(item):
+            start, length, equal = 0, len(same), int(same.sum())
+        elif equal < MIN_WORDS or equal < MIN_SHARE * length:
+            continue
+        if best is None or equal > best[0]:
+            best = (equal, length, low + offset + start)
+    return best
+
+
+def _words_of(data: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(data.as_buffer(), dtype=np.uint64)
+
+
+def _known(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """(item_no, item_id, n, item_words): the items that have words, numbered."""
+    rows = items.select(F.monotonically_increasing_id().alias("item_no"),
+                        F.col(item_id).cast("bigint").alias("item_id"), utf8(text).alias("data"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Words()
         for batch in batches:
             made = [hashed(x.as_py()) for x in batch.column("data")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), batch.column("key"),
+                [batch.column("item_no"), batch.column("item_id"),
                  pa.array([len(m) for m in made], pa.int64()),
                  pa.array([m.tobytes() for m in made], pa.binary())],
-                names=["item_id", "key", "n", "words"])
+                names=["item_no", "item_id", "n", "item_words"])
+
+    # The numbers are fixed by writing them.
+    return stored(rows.mapInArrow(
+        run, "item_no bigint, item_id bigint, n bigint, item_words binary").where("n > 0"), "items")
+
+
+def _seeds(known: DataFrame) -> DataFrame:
+    """(seed, item_no): the different seeds of each item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, words in zip(batch.column("item_no"), batch.column("item_words"), strict=True):
+                made = item_seeds(_words_of(words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made.view(np.int64)), pa.array(np.full(len(made), number.as_py()))],
+                    names=["seed", "item_no"])
+
+    return stored(known.select("item_no", "item_words").mapInArrow(
+        run, "seed bigint, item_no bigint"), "seeds")
+
 
-    known = stored(rows.mapInArrow(run, "item_id bigint, key string, n bigint, words binary")
-                   .where(f"n >= {SHORTEST}"), "items")
-    placed = stored(with_prefix(known, [], "key", F.col("n")).selectExpr(
-        "item_id", "words", f"CAST(before DIV {BLOCK_WORDS} AS int) AS block"), "items")
-    last = placed.agg(F.max("block")).first()[0]
-    for block in range(0 if last is None else last + 1):
-        some = placed.where(f"block = {block}").orderBy("item_id", "words").collect()
-        if some:
-            yield Items([(r.item_id, np.frombuffer(bytes(r.words), dtype=np.uint64))
-                         for r in some])
+def _filter(found: DataFrame) -> np.ndarray:
+    """The filter's words.  At most ``FILTER_BITS`` / 64 rows reach the driver."""
+    places = [f"shiftrightunsigned(seed, {shift}) & {FILTER_BITS - 1}"
+              for shift in _shifts(FILTER_BITS)]
+    table = (found.selectExpr(f"explode(array({', '.join(places)})) AS place")
+             .groupBy(F.expr("place DIV 64").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS int)))").alias("bits")).toArrow())
+    held = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    held[np.array(table["word"], dtype=np.int64)] = np.array(table["bits"], dtype=np.int64).view(np.uint64)
+    return held
+
+
+def _node(text: str):
+    return F.md5(utf8(text))
+
+
+def verified(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
+             item_text: str = "text") -> DataFrame:
+    """(node, item_id, n, equal_words, words, first_word): overlaps of different texts (by the
+    hash of the text) and items, n the item's words.  Written to the shared folder."""
+    spark = bounded(docs.sparkSession)
+    known = _known(items, item_id, item_text)
+    found = _seeds(known)
+    # Longer items all have the same masks.
+    lengths = known.selectExpr(f"CAST(least(n, {SEGMENTED + 1}) AS int) AS n").distinct().collect()
+    masks = sorted({mask for r in lengths for mask, _ in seeds_of(r["n"])})
+    held = spark.sparkContext.broadcast(_filter(found))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = Words()
+        for batch in batches:
+            kept, words, own = [], [], []
+            for i, x in enumerate(batch.column("data")):
+                made = hashed(x.as_py())
+                hits = candidates(made, masks, held.value)
+                if len(hits):
+                    kept.append(i)
+                    words.append(made.tobytes())
+                    own.append(hits.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(kept, pa.int64())),
+                 pa.array(words, pa.binary()), pa.array(own, pa.list_(pa.int64()))],
+                names=["node", "doc_words", "seeds"])
+
+    hits = docs.select(_node(text).alias("node"), utf8(text).alias("data")).mapInArrow(
+        scan, "node string, doc_words binary, seeds array<bigint>")
+    # Written as they come, so that the scan is done once; then one row for each text.
+    hits = stored(hits, "hits")
+    hits = stored(hits.groupBy("node").agg(
+        F.first("doc_words").alias("doc_words"), F.first("seeds").alias("seeds")), "hits")
+    pairs = hits.select("node", F.explode("seeds").alias("seed")).join(found, "seed").select(
+        "node", "item_no").distinct()
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, best = [], []
+            for i, (a, b) in enumerate(zip(batch.column("doc_words"), batch.column("item_words"),
+                                           strict=True)):
+                made = overlap(_words_of(a), _words_of(b))
+                if made:
+                    kept.append(i)
+                    best.append(made)
+            part = batch.select(["node", "item_id", "n"]).take(pa.array(kept, pa.int64()))
+            equal, words, first = zip(*best, strict=True) if best else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(equal, pa.int32()), pa.array(words, pa.int32()),
+                 pa.array(first, pa.int64())],
+                names=["node", "item_id", "n", "equal_words", "words", "first_word"])
+
+    joined = pairs.join(known, "item_no").join(hits.select("node", "doc_words"), "node")
+    return stored(joined.select("node", "item_id", "n", "doc_words", "item_words").mapInArrow(
+        check, "node string, item_id bigint, n bigint, equal_words int, words int, "
+               "first_word bigint"), "overlaps")
 
 
 def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -181,58 +285,24 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
     """A row per document and item that overlap: ids, equal words, words of the
     overlap, its first word in the document, and the item's share that is there.
 
-    Null and empty texts overlap with nothing; repeated documents and items
-    give repeated rows; other columns are not read.
+    Null and empty texts and items overlap with nothing, nor does anything with an empty
+    benchmark; repeated documents and items give repeated rows; of equally good places the
+    first is told; texts and items are taken whole at any length; other columns are not read.
     """
-    spark = bounded(docs.sparkSession)
-    kind = docs.schema[doc_id].dataType.simpleString()
-    schema = (f"doc_id {kind}, item_id bigint, equal_words int, words int, first_word bigint, "
-              "item_share double")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("data"))
-    found = []
-    for block in _blocks(items, item_id, item_text):
-        held = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            hashed = Words()
-            for batch in batches:
-                out = []
-                for i, x in enumerate(batch.column("data")):
-                    for k, (equal, length, first) in held.value.overlaps(
-                            hashed(x.as_py())).items():
-                        name, words = held.value.items[k]
-                        out.append((i, name, equal, length, first, equal / len(words)))
-                columns = list(zip(*out, strict=True)) or [()] * 6
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(columns[0], pa.int64())),
-                     pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()),
-                     pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int64()),
-                     pa.array(columns[5], pa.float64())],
-                    names=["doc_id", "item_id", "equal_words", "words", "first_word",
-                           "item_share"])
-
-        found.append(rows.mapInArrow(run, schema))
-    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
+    found = verified(docs, items, text, item_id, item_text)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _node(text).alias("node"))
+    return rows.join(found, "node").selectExpr(
+        "doc_id", "item_id", "equal_words", "words", "first_word",
+        "CAST(equal_words AS double) / n AS item_share")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text",
-                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents that overlap with no item, with all their columns."""
-    spark = bounded(docs.sparkSession)
-    columns = docs.columns
-    (data,) = unused(docs, "data")
-    for block in _blocks(items, item_id, item_text):
-        held = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            hashed = Words()
-            for batch in batches:
-                at = batch.schema.get_field_index(data)
-                clean = [not held.value.overlaps(hashed(x.as_py())) for x in batch.column(at)]
-                rest = [i for i in range(batch.num_columns) if i != at]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(i) for i in rest], names=[batch.schema.names[i] for i in rest]
-                ).filter(pa.array(clean, pa.bool_()))
-
-        docs = docs.withColumn(data, utf8(text)).mapInArrow(run, docs.schema)
-    return docs.select(*[F.col(f"`{c}`") for c in columns])
+                  item_id: str = "item_id", item_text: str = "text",
+                  evidence: int = EVIDENCE) -> DataFrame:
+    """The documents that overlap with no item of ``evidence`` words or more, with all their
+    columns.  Null and empty texts stay."""
+    found = verified(docs, items, text, item_id, item_text)
+    (node,) = unused(docs, "node")
+    leaked = found.where(f"n >= {int(evidence)}").select(F.col("node").alias(node)).distinct()
+    return docs.withColumn(node, _node(text)).join(leaked, node, "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns])
