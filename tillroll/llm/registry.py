@@ -87,7 +87,9 @@ def op2_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+    # A cut inside a character leaves bytes that are no text: they show as U+FFFD.
+    return repeats.without_repeats(table(spark, folder, "documents")).selectExpr(
+        "* EXCEPT (kept)", "make_valid_utf8(CAST(kept AS string)) AS kept_text")
 
 
 @_query

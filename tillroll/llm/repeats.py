@@ -404,8 +404,8 @@ def merged_spans(spans: list[dict[str, int]]) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and ``kept``, the
-    remaining bytes.
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, ``has_repeat`` (whether
+    anything was removed) and ``kept``, the remaining bytes.
 
     A null text is empty.  Texts under 400 bytes lose nothing.  Repeated rows
     are documents of their own, so a row of 400 bytes or more that occurs twice
@@ -431,13 +431,15 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                     at = high
                 kept = b"".join([*parts, data[at:]])
                 out.append((len(data), len(data) - len(kept), len(runs),
-                            hashlib.sha256(kept).hexdigest(), kept))
-            columns = list(zip(*out, strict=True)) or [()] * 5
+                            hashlib.sha256(kept).hexdigest(), bool(runs), kept))
+            columns = list(zip(*out, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]),
-                 pa.array(columns[3], pa.string()), pa.array(columns[4], pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                 pa.array(columns[3], pa.string()), pa.array(columns[4], pa.bool_()),
+                 pa.array(columns[5], pa.binary())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "has_repeat",
+                       "kept"])
 
     return rows.join(spans, "rid", "left").select("doc_id", "data", "spans").mapInArrow(
         run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, "
-             "kept_sha256 string, kept binary")
+             "kept_sha256 string, has_repeat boolean, kept binary")
