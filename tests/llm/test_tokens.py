@@ -47,3 +47,27 @@ def test_columns_and_odd_rows(spark, library):
         want.append((i, len((t or "").encode()), n, n > 20))
     assert got == sorted(want, key=repr)
     assert tokens.token_counts(frame.limit(0)).count() == 0
+
+
+def test_vocabularies_without_parted_words(spark):
+    """Whether words may be counted one by one is read from the vocabulary."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other = Tokenizer.from_file(path)
+    assert tokens.Counter(PATH).by_word and not tokens.Counter(path).by_word
+    rows = [(i, t) for i, t in enumerate(texts())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for chunk in (200, 100_000):
+        got = tokens.with_tokens(frame, vocabulary=path, chunk=chunk, overlap=16).collect()
+        assert {r.doc_id: r.n_tokens for r in got} == {
+            i: len(other.encode(t, add_special_tokens=False)) for i, t in rows}
+
+
+def test_what_parts_words():
+    plain = {"pre_tokenizer": {"type": "WhitespaceSplit"}, "normalizer": None, "added_tokens": []}
+    assert tokens.counts_by_word(plain)
+    for change in ({"pre_tokenizer": None}, {"pre_tokenizer": {"type": "ByteLevel"}},
+                   {"normalizer": {"type": "Replace", "pattern": {"String": " "}, "content": "_"}},
+                   {"added_tokens": [{"content": "<a b>"}]},
+                   {"pre_tokenizer": {"type": "Split", "behavior": "Removed", "invert": True,
+                                      "pattern": {"Regex": r" ?\p{L}+|\S"}}}):
+        assert not tokens.counts_by_word({**plain, **change}), change

@@ -75,3 +75,27 @@ def test_damage_is_found(spark, tmp_path):
 def test_no_pages(spark, tmp_path):
     frame = spark.createDataFrame([], FIELDS)
     assert warc.round_trip(frame, folder=str(tmp_path)).count() == 0
+
+
+def test_empty_and_equal_pages_are_spread(spark, tmp_path):
+    """Ten thousand empty pages stay where they are read; equal large ones can be split."""
+    rows = [(i, "u", "" if i % 2 else None, "x", 1) for i in range(10_000)]
+    rows += [(20_000 + i, "v", "same " * 300, "x", 1) for i in range(500)]
+    frame = spark.createDataFrame(rows, FIELDS).repartition(4)
+    index = warc.write_archives(warc.record_chunks(frame), str(tmp_path))
+    by_archive = {}
+    for r in index.collect():
+        by_archive[r.path] = by_archive.get(r.path, 0) + r.records
+    assert sum(by_archive.values()) == len(rows)
+    assert len(by_archive) >= 4 and max(by_archive.values()) < 0.5 * len(rows)
+
+
+def test_both_sides_of_the_digest_join_are_exchanges(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.createDataFrame(pages(), FIELDS)
+        plan = warc.record_chunks(frame)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(payload_digest") == 2
+        assert "HashAggregate" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,10 +1,11 @@
 """Operator 4: token counts of whole texts, huge ones by overlap resynchronisation.
 
-A text of up to ``chunk`` characters is counted at once.  White space always
-parts tokens in this kind of vocabulary (it is dropped by the splitter, and
-neither composition, lower-casing nor a special string reaches across it), so
+A text of up to ``chunk`` characters is counted at once.  Where white space always
+parts tokens (the vocabulary's splitter drops it, and
+neither composition, lower-casing nor a special string reaches across it),
 the count of such a text is the sum over its words, and the library encodes
-each different word once.
+each different word once.  The vocabulary is looked at for that; with any other one the
+library encodes the text as a whole.
 
 A longer text is encoded in chunks that overlap, with offsets.  Two
 neighbouring encodings are spliced at a boundary in their overlap that is shown
@@ -18,11 +19,13 @@ without any white space, which can only be encoded as a whole.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +41,46 @@ MEMO_WORDS = 400_000
 _TOGETHER = 64
 
 
+# Splitters that drop white space, and normalisers that work within words.
+_SPLITTERS = frozenset(["Whitespace", "WhitespaceSplit", "BertPreTokenizer"])
+_WITHIN_WORDS = frozenset(
+    ["NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents", "BertNormalizer"])
+# Texts on which a pattern shows whether its matches reach over white space.
+_PROBES = [f"{a}{gap}{b}" for gap in (" ", "  ", "\t", "\n", "\r\n") for a in ("a", "7", "!", "'s", "é", "")
+           for b in ("b", "8", "?", "'ll", "日", "")]
+
+
+def _drops_space(step: dict) -> bool:
+    """Whether a splitter drops white space and parts the text there."""
+    if step["type"] != "Split":
+        return step["type"] in _SPLITTERS
+    pattern = step["pattern"].get("Regex")
+    return (step["behavior"] == "Removed" and step["invert"] and pattern is not None
+            and not any(c.isspace() for text in _PROBES
+                        for m in regex.finditer(pattern, text) for c in m[0]))
+
+
+def _within_words(step: dict) -> bool:
+    """Whether a normaliser changes words one by one, and white space only to white space."""
+    if step["type"] == "Replace":
+        return step["pattern"] == {"Regex": r"\s+"} and step["content"].isspace()
+    return step["type"] in _WITHIN_WORDS
+
+
+def counts_by_word(spec: dict) -> bool:
+    """Whether a text has as many tokens as its words, told by a tokenizers file's content."""
+
+    def steps(part: dict | None, inner: str) -> list[dict]:
+        if part is None:
+            return []
+        return [s for p in part[inner] for s in steps(p, inner)] if part["type"] == "Sequence" else [part]
+
+    splitters = steps(spec.get("pre_tokenizer"), "pretokenizers")
+    return (bool(splitters) and _drops_space(splitters[0])
+            and all(map(_within_words, steps(spec.get("normalizer"), "normalizers")))
+            and not any(c.isspace() for t in spec.get("added_tokens") or () for c in t["content"]))
+
+
 class Counter:
     """Counts tokens with one vocabulary."""
 
@@ -49,12 +92,16 @@ class Counter:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.by_word = counts_by_word(json.loads(self.library.to_str()))
         self.chunk, self.overlap, self.agree = chunk, overlap, agree
         self.memo: dict[bytes, int] = {}
         self.widened = 0
 
     def short(self, texts: list[bytes]) -> list[int]:
         """Counts of texts of at most a chunk."""
+        if not self.by_word:
+            return [len(found) for found in self.library.encode_batch_fast(
+                [t.decode() for t in texts], add_special_tokens=False)]
         words = [t.split() for t in texts]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()

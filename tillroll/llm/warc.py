@@ -59,18 +59,25 @@ def record_chunks(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                   html: str = "html", chunk: int = CHUNK) -> DataFrame:
     """The chunk rows of the records to write, a record's rows in order.
 
-    Digests are taken in a first scan without the payloads' bytes; only
-    groups of equal payloads are looked up by digest.
+    Digests are taken in a first scan without the payloads' bytes.  Only payloads of
+    ``REVISIT_BYTES`` or more are looked up by digest, so empty and small ones, however many,
+    stay where they are read.
     """
     rows = pages.select(F.col(page_id).cast("bigint").alias("page_id"),
                         F.col(url).cast("string").alias("url"), utf8(html).alias("payload"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
     rows = rows.withColumn("payload_digest", F.sha1("payload"))
-    copies = (rows.where(f"payload_bytes >= {REVISIT_BYTES}").groupBy("payload_digest")
-              .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
-              .where("n > 1").select("payload_digest", "response_id"))
-    rows = rows.join(copies, "payload_digest", "left").withColumn(
+    large = rows.where(f"payload_bytes >= {REVISIT_BYTES}")
+    # Written first, so that both sides of the join come from an exchange of their own and
+    # adaptive execution can split a payload that many pages have.
+    copies = stored(large.groupBy("payload_digest")
+                    .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
+                    .where("n > 1").select("payload_digest", "response_id"), "copies")
+    large = large.join(copies, "payload_digest", "left").withColumn(
         "refers_to", F.expr("IF(page_id IS NULL OR page_id < response_id, response_id, NULL)"))
+    small = rows.where(f"payload_bytes < {REVISIT_BYTES}").withColumn(
+        "refers_to", F.lit(None).cast("bigint"))
+    rows = large.drop("response_id").unionByName(small)
     pieces = (f"IF(refers_to IS NOT NULL OR payload_bytes = 0, array(CAST('' AS binary)), "
               f"transform(sequence(1L, payload_bytes, {chunk}L), "
               f"i -> substring(payload, CAST(i AS int), {chunk})))")
