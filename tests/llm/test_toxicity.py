@@ -27,7 +27,7 @@ def test_thresholds_are_ordered_and_severity_grows(spark):
     model = toxicity.fit_on_labels(
         spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"),
         spark.createDataFrame([(i, int(x)) for i, _, x in rows], "doc_id long, toxic int"))
-    assert set(model.weights) == {b"vile", b"awful", b"nasty"}
+    assert {t for t, w in model.weights.items() if w > 0.3} == {b"vile", b"awful", b"nasty"}
     assert (np.diff(model.thresholds) > 0).all()
     p = model.grades(np.linspace(-5, 30, 50))
     assert np.allclose(p.sum(axis=1), 1) and (p >= 0).all()
@@ -84,8 +84,18 @@ def test_held_out_rows(spark):
     rows = toxicity.severities(docs, labels.where("doc_id % 3 > 0")).withColumnRenamed(
         "toxic", "found").join(labels.where("doc_id % 3 = 0"), "doc_id").collect()
     assert not [r.doc_id for r in rows if r.found and not r.toxic]
-    # Toxic rows of other languages hold no telling term at all.
-    assert sum(r.found for r in rows) >= 0.5 * sum(r.toxic for r in rows)
+    # Some languages have two or three toxic rows to learn from here.
+    assert sum(r.found for r in rows) >= 0.6 * sum(r.toxic for r in rows)
+
+
+@pytest.mark.skipif(not SMALL.is_dir(), reason="test tables not present")
+def test_fitted_rows(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = toxicity.severities(docs, labels).withColumnRenamed("toxic", "found").join(
+        labels, "doc_id").collect()
+    assert not [r.doc_id for r in rows if r.found and not r.toxic]
+    assert sum(r.found for r in rows) >= 0.9 * sum(r.toxic for r in rows)
 
 
 @pytest.mark.skipif(not Path("/root/testdata/sf0.1").is_dir(), reason="test tables not present")
@@ -99,8 +109,10 @@ def test_held_out_rows_of_each_language(spark):
     for lang in ("en", "fr", "de", "es"):
         toxic = [r.found for r in rows if r.lang == lang and r.toxic]
         clean = [r.found for r in rows if r.lang == lang and not r.toxic]
-        assert sum(toxic) >= 0.5 * len(toxic), lang
+        assert sum(toxic) >= 0.9 * len(toxic), lang
         assert sum(clean) <= 0.02 * len(clean), lang
+    everywhere = [r.found for r in rows if not r.toxic]
+    assert sum(everywhere) <= 0.01 * len(everywhere)
 
 
 def test_copies_make_no_term_and_small_languages_keep_theirs(spark):
@@ -116,5 +128,41 @@ def test_copies_make_no_term_and_small_languages_keep_theirs(spark):
         rows.append((2000 + i, " ".join(words), "fr", int(toxic)))
     frame = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
-    assert set(toxicity.fit_on_labels(frame, labels).weights) == {
-        b"vile", b"awful", b"nasty", b"vilain"}
+    model = toxicity.fit_on_labels(frame, labels)
+    assert set(model.weights) == {b"vile", b"awful", b"nasty", b"vilain", b"\xffvilai"}
+    assert b"copied" not in model.weights
+
+
+def test_terms_and_features():
+    assert toxicity.terms_of(b'"idiots,') == (b"idiots", b"\xffidiot")
+    assert toxicity.terms_of("réeux".encode()) == ("réeux".encode(),)
+    assert toxicity.terms_of("réeuxment".encode())[1] == b"\xff" + "réeux".encode()
+    assert toxicity.terms_of(b"***") == ()
+    assert toxicity.term_counts("Ärger ärger, X x".encode()) == (
+        {"ärger".encode(): 2, b"x": 2}, 4)
+    assert [toxicity.feature(*x) for x in ((3, 100, 0.01), (1, 500, 0.01), (90, 10, 0.0))] == [2.0, 0.0, 8.0]
+
+
+def test_telling_terms_equal_plain_counts(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(160):
+        toxic, lang = i % 4 == 0, rng.choice(["en", "fr", None])
+        words = {f"w{rng.randrange(30)}".encode() for _ in range(8)}
+        words |= {rng.choice([b"bad", b"mal"])} if toxic and rng.random() < .8 else set()
+        rows.append((int(toxic), rng.randrange(100), lang, sorted(words)))
+    frame = spark.createDataFrame(rows, "toxic int, copy long, lang string, terms array<binary>")
+    want = set()
+    for scope in (..., "en", "fr"):
+        some = [r for r in rows if scope is ... or r[2] == scope]
+        bad, good = ({r[1] for r in some if bool(r[0]) == kind} for kind in (True, False))
+        for term in {t for r in some for t in r[3]}:
+            a, c = (len({r[1] for r in some if bool(r[0]) == kind and term in r[3]})
+                    for kind in (True, False))
+            share = (a + c) / (len(bad) + len(good))
+            cells = [(a, len(bad) * share), (c, len(good) * share),
+                     (len(bad) - a, len(bad) * (1 - share)), (len(good) - c, len(good) * (1 - share))]
+            ratio = 2 * sum(n * np.log(n / e) for n, e in cells if n)
+            if a >= toxicity.MIN_ROWS and a * len(good) > c * len(bad) and ratio >= toxicity.MIN_RATIO:
+                want.add(term)
+    assert want and toxicity.telling_terms(frame) == sorted(want)

@@ -2,10 +2,11 @@
 
 The grades 0 (clean) to ``TOP`` are ordered: P(grade <= k) = s(t_k - w x) with
 one weight vector w for all thresholds t_0 < t_1 < ...  The features x are
-sparse: for each term that tells toxic from clean documents, the logarithm of
-its count.  The result is the expected severity, the sum of k * P(grade = k).
+sparse: for each term that tells toxic from clean documents, its count beyond what clean
+text of that length has.  The result is the expected severity, the sum of k * P(grade = k).
 
-Terms are tested over all rows and within each language, since a word of a
+Terms are words, and the beginnings of longer words, so that other forms of a word tell as
+well.  They are tested over all rows and within each language, since a word of a
 language with few rows tells little over all of them.  A row counts once with its
 near copies, so a few copied documents make no term.
 
@@ -35,30 +36,48 @@ FIT_TOXIC = 3_000
 FIT_CLEAN = 6_000
 # Telling terms at most.
 TERMS = 1_000
-# A term tells if its log-likelihood ratio against the clean rows is this high
-# and it is in so many toxic rows that are no near copies.
-MIN_RATIO = 15.0
+# A term tells if its log-likelihood ratio against the clean rows is this high (by
+# chance in one of two thousand) and it is in so many toxic rows that are no near copies.
+MIN_RATIO = 12.0
 MIN_ROWS = 3
+# Characters of a word's beginning, and the count of a term that tells most.
+BEGINNING = 5
+MOST = 8.0
 # Words of a shingle by which copies are told.
 COPY_SHINGLE = 5
 # Rejected from this probability of any severity on: labels miss some toxic rows.
-REJECT = 0.2
+REJECT = 0.35
 _EDGES = b".,;:!?\"'()[]{}<>*#$%&|-_"
 # Terms whose weights a worker remembers at a time.
 _MEMO = 500_000
 
 
-def term_counts(data: bytes) -> dict[bytes, int]:
-    """Lower-cased words without marks at their edges, with their counts."""
+def terms_of(word: bytes) -> tuple[bytes, ...]:
+    """The terms of a word of a lower-cased text: itself without marks at its edges, and its
+    beginning if it is longer.  A byte that no text has tells beginnings from words."""
+    term = word.strip(_EDGES)
+    if not term:
+        return ()
+    letters = term.decode()
+    if len(letters) <= BEGINNING:
+        return (term,)
+    return term, b"\xff" + letters[:BEGINNING].encode()
+
+
+def lowered(data: bytes) -> bytes:
+    return data.decode().lower().encode()
+
+
+def term_counts(data: bytes) -> tuple[dict[bytes, int], int]:
+    """The terms of a text with their counts, and the number of its words."""
     counts: Counter[bytes] = Counter()
-    for words in word_blocks(data.lower()):
+    for words in word_blocks(lowered(data)):
         counts.update(words)
     terms: dict[bytes, int] = {}
     for word, n in counts.items():
-        term = word.strip(_EDGES)
-        if term:
+        for term in terms_of(word):
             terms[term] = terms.get(term, 0) + n
-    return terms
+    return terms, sum(counts.values())
 
 
 def copy_key(data: bytes) -> int:
@@ -67,13 +86,25 @@ def copy_key(data: bytes) -> int:
     return low - (1 << 64) if low >> 63 else low
 
 
+def feature(count: int, words: int, share: float) -> float:
+    """A term's count beyond the one that a clean text of so many words has."""
+    return min(MOST, max(0.0, count - words * share))
+
+
 @dataclass
 class Severity:
-    """Terms with their weights, and the ordered thresholds."""
+    """Terms with their weights and their share of the words of clean texts, and the
+    ordered thresholds."""
 
     weights: dict[bytes, float]
+    shares: dict[bytes, float]
     thresholds: np.ndarray
 
+    def score(self, counts: dict[bytes, int], words: int) -> float:
+        """Weighted sum of the features of a text's telling terms."""
+        return sum(self.weights[t] * feature(n, words, self.shares[t])
+                   for t, n in sorted(counts.items()))
+
     def grades(self, scores: np.ndarray) -> np.ndarray:
         """Probability of each grade (columns) for each score (rows)."""
         below = 1 / (1 + np.exp(np.clip(scores[:, None] - self.thresholds[None, :], -50, 50)))
@@ -157,25 +188,39 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     return parameters[:width], cut
 
 
-def fit(rows: list[tuple[dict[bytes, int], bool]], terms: list[bytes],
+def fit(rows: list[tuple[dict[bytes, int], int, str | None, bool]], terms: list[bytes],
         top: int = TOP) -> Severity | None:
-    """The model from (counts of telling terms, toxic) rows; None if no toxic row has any."""
+    """The model from (counts of telling terms, words, language, toxic) rows; None if no
+    toxic row has any.
+
+    A term's share of clean words is that of the language where it is largest.
+    """
+    clean: Counter[str | None] = Counter()
+    held: Counter[tuple[bytes, str | None]] = Counter()
+    for counts, words, lang, toxic in rows:
+        if not toxic:
+            clean[lang] += words
+            held.update({(t, lang): n for t, n in counts.items()})
+    shares = {t: max((held[t, lang] / max(1, n) for lang, n in clean.items()), default=0.0)
+              for t in terms}
     place = {t: i for i, t in enumerate(terms)}
-    at, column, value, used = [], [], [], []
-    for i, (counts, _) in enumerate(rows):
-        used.append(sum(counts.values()))
-        for term, n in counts.items():
-            at.append(i)
-            column.append(place[term])
-            value.append(np.log1p(n))
-    toxic, used = np.array([t for _, t in rows], dtype=bool), np.array(used)
+    at, column, value = [], [], []
+    used = np.zeros(len(rows))
+    for i, (counts, words, _, _) in enumerate(rows):
+        for term, n in sorted(counts.items()):
+            if (x := feature(n, words, shares[term])) > 0:
+                at.append(i)
+                column.append(place[term])
+                value.append(x)
+                used[i] += x
+    toxic = np.array([r[3] for r in rows], dtype=bool)
     if not (toxic & (used > 0)).any():
         return None
     cuts = np.quantile(used[toxic & (used > 0)], np.arange(1, top) / top)
     grade = np.where(toxic, 1 + np.searchsorted(cuts, used, side="left"), 0)
     weights, thresholds = fit_ordinal(np.array(at), np.array(column), np.array(value), grade,
                                       len(terms), top + 1)
-    return Severity(dict(zip(terms, weights.tolist(), strict=True)), thresholds)
+    return Severity(dict(zip(terms, weights.tolist(), strict=True)), shares, thresholds)
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
@@ -206,14 +251,16 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
                  pa.array([copy_key(t) for t in texts], pa.int64()), batch.column("lang"),
-                 pa.array([list(m) for m in made], pa.list_(pa.binary())),
-                 pa.array([list(m.values()) for m in made], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "copy", "lang", "terms", "counts"])
+                 pa.array([n for _, n in made], pa.int64()),
+                 pa.array([list(m) for m, _ in made], pa.list_(pa.binary())),
+                 pa.array([list(m.values()) for m, _ in made], pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "copy", "lang", "words", "terms", "counts"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     toxic_type = rows.schema["toxic"].dataType.simpleString()
-    schema = f"doc_id {id_type}, toxic {toxic_type}, terms array<binary>, counts array<int>"
-    told = schema.replace("terms", "copy bigint, lang string, terms", 1)
+    schema = (f"doc_id {id_type}, toxic {toxic_type}, lang string, words bigint, "
+              "terms array<binary>, counts array<int>")
+    told = schema.replace("lang", "copy bigint, lang", 1)
     bags = stored(rows.mapInArrow(run, told).dropDuplicates(["doc_id"]), "bags")
     terms = telling_terms(bags)
     wanted = frozenset(terms)
@@ -224,12 +271,13 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                     for terms, counts in zip(batch.column("terms").to_pylist(),
                                              batch.column("counts").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"),
+                [*(batch.column(c) for c in ("doc_id", "toxic", "lang", "words")),
                  pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.binary())),
                  pa.array([[n for _, n in r] for r in rows], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "terms", "counts"])
+                names=["doc_id", "toxic", "lang", "words", "terms", "counts"])
 
-    sample = [({bytes(t): n for t, n in zip(r.terms, r.counts, strict=True)}, r.toxic > 0)
+    sample = [({bytes(t): n for t, n in zip(r.terms, r.counts, strict=True)}, r.words, r.lang,
+               r.toxic > 0)
               for r in bags.mapInArrow(telling, schema).orderBy("doc_id").collect()]
     return fit(sample, terms)
 
@@ -247,27 +295,28 @@ def with_severity(df: DataFrame, model: Severity | None, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = model.weights if model else {}
-        memo: dict[bytes, bytes | None] = {}
+        memo: dict[bytes, tuple[bytes, ...]] = {}
 
-        def counted(text: bytes) -> float:
+        def score(text: bytes) -> float:
             counts: dict[bytes, int] = {}
-            for words in word_blocks(text.lower()):
+            total = 0
+            for words in word_blocks(lowered(text)):
+                total += len(words)
                 for word in words:
                     try:
-                        term = memo[word]
+                        found = memo[word]
                     except KeyError:
                         if len(memo) >= _MEMO:
                             memo.clear()
-                        term = word.strip(_EDGES)
-                        term = memo[word] = term if term in weights else None
-                    if term is not None:
+                        found = memo[word] = tuple(t for t in terms_of(word) if t in weights)
+                    for term in found:
                         counts[term] = counts.get(term, 0) + 1
-            return sum(weights[t] * np.log1p(n) for t, n in sorted(counts.items()))
+            return model.score(counts, total)
 
         for batch in batches:
             at = batch.schema.get_field_index(data)
             if model:
-                p = model.grades(np.array([counted(x.as_py()) for x in batch.column(at)], float))
+                p = model.grades(np.array([score(x.as_py()) for x in batch.column(at)], float))
                 expected = p @ np.arange(p.shape[1])
                 is_toxic = 1 - p[:, 0] >= REJECT
             else:
@@ -283,7 +332,13 @@ def with_severity(df: DataFrame, model: Severity | None, text: str = "text",
 
 def severities(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                text: str = "text") -> DataFrame:
-    """Per document its expected severity and verdict; repeated rows stay."""
+    """Per document its expected severity and verdict.
+
+    Null and empty texts have the severity of a text without telling terms; repeated rows
+    stay and are judged alike; texts are read whole, at any length; without labels of both
+    kinds nothing is toxic; an empty table stays empty.  Of documents with one id, and of terms
+    that tell equally, the order of ids and terms decides.
+    """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     scored = with_severity(rows, fit_on_labels(docs, labels, doc_id, text))
     return scored.select("doc_id", "expected_severity", "toxic")
@@ -291,7 +346,8 @@ def severities(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 def without_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
+    """The documents that are not rejected, with all their columns; odd rows as in
+    ``severities``."""
     severity, toxic = unused(docs, "severity", "toxic")
     model = fit_on_labels(docs, labels, doc_id, text)
     scored = with_severity(docs, model, text, severity, toxic)
