@@ -8,9 +8,10 @@ divided by its largest possible value: a branch that looks and reads the same
 on all pages has none.  A container is removed from each page if its importance
 is small against that of the main branch it lies in.
 
-Styles that say what they are (menus, adverts, forms, comments, ...) have no
-importance to begin with, and where a page has an article or main branch, only
-that counts.
+Elements that say what they are (menus, adverts, forms, comments, ...) have no
+importance to begin with.  What an element is called is told by the last word of a
+class or id: ``post-comments`` are comments, but ``side-effects`` are no side bar.
+Where articles and main parts hold most of what is left of a page, only they count.
 
 The merged trees are tables with a row per host and node.  A page is only told
 which of its own nodes to remove, so neither a host's pages nor its tree are
@@ -58,7 +59,8 @@ SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table"
 NO_ROLE = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu "
     "menubar".split())
-# Words in class or id that name what is not the article; the first few also on an article.
+# Words at the end of a class or id that name what is not the article; the first few also on
+# an article.
 NO_STORY = frozenset(
     "comment comments ad ads advert advertisement sponsor sponsored promo related reply "
     "replies".split())
@@ -68,6 +70,14 @@ NO_CLASS = NO_STORY | frozenset(
     "subscribe subscription signup login share sharing social recommended widget pagination "
     "pager toolbar search copyright masthead disclaimer alert disqus respond form skip "
     "topbar promotion".split())
+# Words that say how something is laid out or counted, after the word that names it.
+LAYOUT = frozenset(
+    "box container wrapper wrap area section block list inner outer content body holder "
+    "placeholder panel column col row group control unit slot spot space zone frame label item "
+    "items button buttons link links icon icons bar title text posts articles stories left right "
+    "top bottom main primary secondary x".split())
+# Words in front that make a name of the page's state, not of the element.
+STATE = frozenset("has with no without is not".split())
 
 _TAG = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)"""
@@ -93,6 +103,18 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def told(token: str) -> set[str]:
+    """The word that names an element in one class or id: the last one that is no layout
+    word, alone and with the word before it (``side-bar``)."""
+    words = [w.lower() for w in _WORDS.findall(token.split("--")[0])]
+    if words and words[0] in STATE:
+        return set()
+    joined = {"".join(words[-2:])} if len(words) > 1 else set()
+    while len(words) > 1 and (words[-1] in LAYOUT or words[-1].isdigit()):
+        words.pop()
+    return joined | {"".join(words[-2:])} | set(words[-1:])
+
+
 class _Node:
     __slots__ = ("tag", "path", "key", "main", "in_main", "skip", "layout", "first", "end")
 
@@ -241,17 +263,20 @@ class Page:
             if name == "hidden" and not value or name == "role" and value.lower() in NO_ROLE:
                 return True
             if name in ("class", "id"):
-                words = {w.lower() for w in _WORDS.findall(value)}
-                if words & (NO_STORY if tag in MAIN else NO_CLASS):
+                names = {n for token in value.split() for n in told(token)}
+                if names & (NO_STORY if tag in MAIN else NO_CLASS):
                     return True
-                if "header" in words and tag not in MAIN and not up.in_main:
+                if "header" in names and tag not in MAIN and not up.in_main:
                     return True
         return False
 
     def text(self) -> str:
-        """The main text: of articles and main parts, or of the page if it has none."""
+        """The main text: of articles and main parts, or of the page if these hold less
+        than half of it."""
         inside = [t for t, main in self.blocks if main]
-        return "\n\n".join(inside or [t for t, _ in self.blocks])
+        if 2 * sum(map(len, inside)) < sum(len(t) for t, _ in self.blocks):
+            inside = [t for t, _ in self.blocks]
+        return "\n\n".join(inside)
 
     def branches(self) -> Iterator[tuple[int, int, int, int]]:
         """(node, main node, layout, content) of main parts and containers that have text."""
@@ -306,7 +331,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """Per page its id, url, main text and the text's number of code points.
 
     A null html is empty.  Pages without url are of one host without name.
-    Repeated rows stay; other columns are not read.
+    Repeated rows stay; pages are read whole, at any length; of equally important nodes none
+    is preferred; an empty table stays empty; other columns are not read.
     """
     bounded(pages.sparkSession)
     rows = pages.select(
