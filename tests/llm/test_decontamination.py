@@ -104,8 +104,24 @@ def test_filter_keeps_every_seed():
     for shift in d._shifts(d.FILTER_BITS):
         place = (made >> np.uint64(shift)) & np.uint64(d.FILTER_BITS - 1)
         np.bitwise_or.at(held, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
-    assert (d.in_filter(held, made) == made).all()
-    assert len(d.in_filter(held, rng.integers(0, 1 << 63, 100_000).astype(np.uint64))) < 5
+    known = d.Filter(held)
+    assert (known.places(made) == np.arange(len(made))).all()
+    assert len(known.places(rng.integers(0, 1 << 63, 100_000).astype(np.uint64))) < 5
+
+
+def test_seeds_end_with_their_text(monkeypatch):
+    """Texts that are looked at together have the seeds they have alone."""
+    rng = random.Random(5)
+    hashed = d.Words()
+    texts = [hashed(" ".join(words(rng, n)).encode()) for n in (0, 3, 12, 40, 1, 11, 90)]
+    masks = [*d.MASKS, (0, 1, 2), tuple(range(7))]
+    everything = d.Filter(np.full(16, ~np.uint64(0)))
+    for part in (1 << 20, 13):
+        monkeypatch.setattr(d, "_PART", part)
+        got = d.candidates(texts, masks, everything)
+        for i, text in enumerate(texts):
+            want = np.unique(np.concatenate([d.seeds(text, m) for m in masks]))
+            assert (got.get(i, np.empty(0, np.uint64)) == want).all()
 
 
 def test_repeated_words_make_no_pairs_of_places():

@@ -52,42 +52,60 @@ _MEMO = 500_000
 _PART = 1 << 20
 
 
+class _Hashes(dict):
+    """Hashes of words, made when first asked for; words of marks alone have 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        bare = word.strip(_EDGES)
+        found = self[word] = (xxhash.xxh64_intdigest(bare) | 1) if bare else 0
+        return found
+
+
 class Words:
     """Word hashes of texts, remembered for a bounded number of words."""
 
     def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
+        self.memo = _Hashes()
 
     def __call__(self, data: bytes) -> np.ndarray:
         """Hashes of the words; words of marks alone are passed over."""
-        memo, parts = self.memo, []
+        parts = []
         for words in word_blocks(data.decode().lower().encode()):
-            found = []
-            for word in words:
-                h = memo.get(word)
-                if h is None:
-                    if len(memo) >= _MEMO:
-                        memo.clear()
-                    bare = word.strip(_EDGES)
-                    h = memo[word] = (xxhash.xxh64_intdigest(bare) | 1) if bare else 0
-                found.append(h)
-            parts.append(np.array(found, dtype=np.uint64))
+            if len(self.memo) >= _MEMO:
+                self.memo.clear()
+            parts.append(np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words)))
         made = np.concatenate(parts)
         return made[made != 0]
 
 
-def seeds(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
-    """One hash for each place where the mask fits."""
-    n = len(words) - mask[-1]
+# An odd factor for each place of a window.
+_FACTORS = [np.uint64(int.from_bytes(hashlib.sha256(b"place %d" % i).digest()[:8], "little") | 1)
+            for i in range(SPAN)]
+
+
+def _products(words: np.ndarray, masks: list[tuple[int, ...]]) -> dict[int, np.ndarray]:
+    """The words times the factor of each place that the masks look at."""
+    return {place: words * _FACTORS[place] for place in {p for mask in masks for p in mask}}
+
+
+def _seeds(products: dict[int, np.ndarray], mask: tuple[int, ...]) -> np.ndarray:
+    n = len(products[0]) - mask[-1]
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
     salt = int.from_bytes(hashlib.sha256(repr(mask).encode()).digest()[:8], "little")
-    made = np.full(n, salt, dtype=np.uint64)
-    for i, place in enumerate(mask):
-        made += words[place:place + n] * np.uint64(0x9E3779B97F4A7C15 + 2 * i * 0x1000003D)
-        made ^= made >> np.uint64(29)
-        made *= np.uint64(0xBF58476D1CE4E5B9)
-    return made ^ (made >> np.uint64(32))
+    made = products[0][:n] + np.uint64(salt)
+    for place in mask[1:]:
+        made += products[place][place:place + n]
+    for shift, factor in ((32, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9)):
+        made ^= made >> np.uint64(shift)
+        made *= np.uint64(factor)
+    made ^= made >> np.uint64(32)
+    return made
+
+
+def seeds(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
+    """One hash for each place where the mask fits."""
+    return _seeds(_products(words, [mask]), mask)
 
 
 def seeds_of(n_words: int) -> list[tuple[tuple[int, ...], list[int]]]:
@@ -113,20 +131,46 @@ def _shifts(size: int) -> tuple[int, ...]:
     return (64 - bits, 64 - 2 * bits, 0)
 
 
-def in_filter(held: np.ndarray, made: np.ndarray) -> np.ndarray:
-    """The seeds whose bits are all set."""
-    size = 64 * len(held)
-    for shift in _shifts(size):
-        place = (made >> np.uint64(shift)) & np.uint64(size - 1)
-        made = made[(held[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)) > 0]
-    return made
+class Filter:
+    """The bit array, and a smaller one that most seeds are told apart by."""
+
+    def __init__(self, held: np.ndarray):
+        """``held`` are the words of the array."""
+        self.held, self.size = held, 64 * len(held)
+        # Whether any of sixteen neighbouring bits is set.
+        self.near = held.view(np.uint16) != 0
+        self.near_shift = np.uint64(64 - self.size.bit_length() + 1 + 4)
 
+    def places(self, made: np.ndarray) -> np.ndarray:
+        """Places of the seeds whose bits are all set."""
+        at = np.flatnonzero(self.near[made >> self.near_shift])
+        for shift in _shifts(self.size):
+            bit = (made[at] >> np.uint64(shift)) & np.uint64(self.size - 1)
+            at = at[(self.held[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)) > 0]
+        return at
 
-def candidates(words: np.ndarray, masks: list[tuple[int, ...]], held: np.ndarray) -> np.ndarray:
-    """The different seeds of a text that the filter has."""
-    found = [in_filter(held, seeds(words[start:start + _PART + mask[-1]], mask))
-             for mask in masks for start in range(0, len(words), _PART)]
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+
+def candidates(texts: list[np.ndarray], masks: list[tuple[int, ...]],
+               known: Filter) -> dict[int, np.ndarray]:
+    """{text: its different seeds that the filter has}, for texts that have any.
+
+    The texts' words are looked at in one row, a bounded part at a time.
+    """
+    words = np.concatenate([*texts, np.empty(0, np.uint64)])
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    found: dict[int, list[np.ndarray]] = {}
+    for start in range(0, len(words) if masks else 0, _PART):
+        products = _products(words[start:start + _PART + SPAN - 1], masks)
+        for mask in masks:
+            made = _seeds(products, mask)
+            at = known.places(made)
+            first = owner[start + at]
+            # Not over the end of a text.
+            inside = first == owner[start + at + mask[-1]]
+            at, first = at[inside], first[inside]
+            for text in np.unique(first).tolist():
+                found.setdefault(text, []).append(made[at[first == text]])
+    return {text: np.unique(np.concatenate(parts)) for text, parts in sorted(found.items())}
 
 
 def offsets(words: np.ndarray, item: np.ndarray) -> np.ndarray:
@@ -190,7 +234,7 @@ def _known(items: DataFrame, item_id: str, text: str) -> DataFrame:
         run, "item_no bigint, item_id bigint, n bigint, item_words binary").where("n > 0"), "items")
 
 
-def _seeds(known: DataFrame) -> DataFrame:
+def _seed_table(known: DataFrame) -> DataFrame:
     """(seed, item_no): the different seeds of each item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,23 +271,19 @@ def verified(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str
     hash of the text) and items, n the item's words.  Written to the shared folder."""
     spark = bounded(docs.sparkSession)
     known = _known(items, item_id, item_text)
-    found = _seeds(known)
+    found = _seed_table(known)
     # Longer items all have the same masks.
     lengths = known.selectExpr(f"CAST(least(n, {SEGMENTED + 1}) AS int) AS n").distinct().collect()
     masks = sorted({mask for r in lengths for mask, _ in seeds_of(r["n"])})
     held = spark.sparkContext.broadcast(_filter(found))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = Words()
+        hashed, known = Words(), Filter(held.value)
         for batch in batches:
-            kept, words, own = [], [], []
-            for i, x in enumerate(batch.column("data")):
-                made = hashed(x.as_py())
-                hits = candidates(made, masks, held.value)
-                if len(hits):
-                    kept.append(i)
-                    words.append(made.tobytes())
-                    own.append(hits.view(np.int64))
+            texts = [hashed(x.as_py()) for x in batch.column("data")]
+            hits = candidates(texts, masks, known)
+            kept, own = list(hits), [h.view(np.int64) for h in hits.values()]
+            words = [texts[i].tobytes() for i in kept]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").take(pa.array(kept, pa.int64())),
                  pa.array(words, pa.binary()), pa.array(own, pa.list_(pa.int64()))],
