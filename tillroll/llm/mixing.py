@@ -64,12 +64,11 @@ def _plan(rows: DataFrame) -> DataFrame:
     return placed.join(goals, ["no_source", "source"])
 
 
-def _rows(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-    return docs.select(
-        F.col(doc_id).alias("doc_id"), words(text).alias("size"),
-        F.col(source).isNull().alias("no_source"),
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
-        random_key(doc_id, text).alias("key"))
+def _columns(doc_id: str, text: str, source: str) -> list[Column]:
+    return [F.col(doc_id).alias("doc_id"), words(text).alias("size"),
+            F.col(source).isNull().alias("no_source"),
+            F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
+            random_key(doc_id, text).alias("key")]
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -80,7 +79,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     a source's taken words are its target without the fraction.  Null texts
     have size 0; the null source is a source.  Repeated rows count each.
     """
-    rows = stored(_rows(docs, doc_id, text, source), "sizes")
+    rows = stored(docs.select(*_columns(doc_id, text, source)), "sizes")
     return _plan(rows).selectExpr(
         "doc_id", "size", "source_size", "target",
         "full * size + greatest(0L, least(size, rest - before)) AS taken")
@@ -91,24 +90,20 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The mix itself: rows of ``docs``, each as often as the mix takes it.
 
     Texts stay whole, so the document on the edge is taken once more as a
-    whole.  Each row is found again by its key and its number among the rows
-    of the same key.
+    whole.  Rows are numbered while they are written, so each is found again by its
+    number, and rows of one id and text never come together.  Null and odd rows as in ``mix``;
+    an empty table stays empty.
     """
-    key, number, copies = unused(docs, "key", "number", "copies")
-    spark = docs.sparkSession
-    # The join below then needs no exchange beyond the one for the numbering.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    rows = stored(_rows(docs, doc_id, text, source), "sizes")
+    uid, plan, copies = unused(docs, "uid", "plan", "copies")
+    held = stored(docs.withColumns({
+        uid: F.monotonically_increasing_id(),
+        plan: F.struct(*_columns(doc_id, text, source)[1:])}), "numbered")
+    rows = held.select(F.col(uid).alias("doc_id"), f"{plan}.*")
     chosen = _plan(rows).selectExpr(
-        f"key AS {key}", "CAST(full + IF(before < rest, 1, 0) AS int) AS copies")
-    # Rows of one key are alike but for where they lie, so they add up.
-    chosen = chosen.where("copies > 0").selectExpr(
-        key, f"copies AS {copies}",
-        f"row_number() OVER (PARTITION BY {key} ORDER BY copies DESC) AS {number}")
-    numbered = docs.withColumn(key, random_key(doc_id, text)).withColumn(
-        number, F.expr(f"row_number() OVER (PARTITION BY {key} ORDER BY {key})"))
+        f"doc_id AS {uid}", f"CAST(full + IF(before < rest, 1, 0) AS int) AS {copies}").where(
+        f"{copies} > 0")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return (numbered.join(chosen, [key, number])
+    return (held.join(chosen, uid)
             .select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies))
             .select(*columns))
 

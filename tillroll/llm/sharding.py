@@ -135,16 +135,14 @@ def with_shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                shards: int = SHARDS) -> DataFrame:
     """``docs`` with the columns ``shard`` and ``slot``.
 
-    A row is found again by its key and its number among the rows of this key,
-    which have the same id and text.
+    Equal texts are linked, null texts with each other; repeated rows get a slot each; an
+    empty table stays empty.  Rows are numbered while they are written, so each is found
+    again by its number, and rows of one id and text never come together.
     """
-    key, number, shard, slot = unused(docs, "key", "number", "shard", "slot")
-    # The join then needs no exchange of texts beyond the one for the numbering.
-    docs.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    placed = assign(_rows(docs, doc_id, text).select("uid", "key", "grp"), shards).selectExpr(
-        f"key AS {key}", f"shard AS {shard}", f"slot AS {slot}",
-        f"row_number() OVER (PARTITION BY key ORDER BY shard, slot) AS {number}")
-    numbered = docs.withColumn(key, random_key(doc_id, text)).withColumn(
-        number, F.expr(f"row_number() OVER (PARTITION BY {key} ORDER BY {key})"))
-    return numbered.join(placed, [key, number]).select(
-        *[F.col(f"`{c}`") for c in docs.columns], shard, slot)
+    uid, key, grp, shard, slot = unused(docs, "uid", "key", "grp", "shard", "slot")
+    held = stored(docs.withColumns({
+        uid: F.monotonically_increasing_id(), grp: F.coalesce(F.md5(F.col(text)), F.lit("")),
+        key: random_key(doc_id, text)}), "numbered")
+    placed = assign(held.selectExpr(f"{uid} AS uid", f"{key} AS key", f"{grp} AS grp"), shards)
+    placed = placed.selectExpr(f"uid AS {uid}", f"shard AS {shard}", f"slot AS {slot}")
+    return held.join(placed, uid).select(*[F.col(f"`{c}`") for c in docs.columns], shard, slot)
