@@ -68,3 +68,30 @@ def test_odd_rows(spark):
     assert Counter(r.uid for r in made.collect()) == Counter(r[3] for r in rows)
     assert len({(r.shard_, r.slot) for r in made.collect()}) == len(rows)
     assert sharding.with_shard(frame.limit(0)).count() == 0
+
+
+def test_rounds_lower_the_cut(spark):
+    rows = rows_of([400, 60, 40] + [2] * 60 + [3] * 20, 500)
+    frame = spark.createDataFrame(rows, FIELDS)
+    made = sharding.with_shard(frame)
+    apart = sharding.cut(made, ["text"], "shard_").first()
+    assert apart.linked == 680
+    shards = defaultdict(Counter)
+    for r in made.collect():
+        shards[r.text][r.shard_] += 1
+    assert apart.apart == sum(sum(s.values()) - max(s.values()) for s in shards.values())
+    # Dealt by hash about seven eighths are apart; the group of 400 alone needs three shards.
+    dealt = frame.selectExpr("text", "pmod(xxhash64(doc_id), 8) AS shard")
+    assert sharding.cut(dealt, ["text"]).first().apart > 400
+    assert apart.apart < 330
+    assert tuple(sharding.cut(frame.limit(0).selectExpr("text", "0 AS shard"), ["text"]).first()) == (0, 0)
+
+
+def test_a_hot_row_is_in_no_window_of_its_key(spark):
+    """A third of the rows have one id and text: their texts never come to one task."""
+    rows = [(7, "hot " * 50, "s", 1)] * 400 + rows_of([], 800)
+    frame = spark.createDataFrame(rows, FIELDS).repartition(4)
+    made = sharding.with_shard(frame)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+    assert len({(r.shard_, r.slot) for r in made.collect()}) == 1200

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import re
-import shutil
-import tempfile
 from collections.abc import Iterator
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.workspace import shipped
+
 # Rows in one Arrow batch: with texts of some hundred KB a batch stays below
 # a hundred MB or so in the Python worker.
 BATCH_ROWS = 256
@@ -25,27 +23,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-_shipped: set[str] = set()
-
-
-def shipped(spark: SparkSession) -> SparkSession:
-    """Send the package to the Python workers, once for an application.
-
-    They then need neither an installed copy nor the driver's search path.
-    """
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        # The driver serves the archive from this place as long as it runs.
-        folder = tempfile.mkdtemp(prefix="tillroll-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.addPyFile(shutil.make_archive(
-            f"{folder}/{package.name}-{context.applicationId}", "zip", package.parent,
-            package.name))
-        _shipped.add(context.applicationId)
-    return spark
-
-
 def bounded(spark: SparkSession, rows: int = BATCH_ROWS) -> SparkSession:
     """Get ready for Python workers: the package is there, and an Arrow batch has
     few rows, since texts are long."""

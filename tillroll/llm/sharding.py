@@ -107,6 +107,20 @@ def assign(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
         "uid", "key", "shard", "CAST(slot AS bigint) AS slot")
 
 
+def cut(rows: DataFrame, groups: list[str], shard: str = "shard") -> DataFrame:
+    """One row (linked, apart): documents of groups of two or more, and how many of them are
+    not in the shard that holds most of their group.
+
+    It tells what ``ROUNDS`` rounds have left; counts are folded in each task, and a group is
+    one row for each shard.
+    """
+    here = rows.groupBy(*groups, shard).agg(F.count("*").alias("n"))
+    whole = here.groupBy(*groups).agg(F.sum("n").alias("members"), F.max("n").alias("most"))
+    return whole.where("members > 1").agg(
+        F.coalesce(F.sum("members"), F.lit(0)).alias("linked"),
+        F.coalesce(F.sum(F.expr("members - most")), F.lit(0)).alias("apart"))
+
+
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     # The numbers are fixed by writing them; null texts are one group.
     return stored(docs.select(
