@@ -68,6 +68,23 @@ def test_trees_are_monotonic_and_fit():
             assert (sign * np.diff(trees.score(rows)) >= -1e-12).all()
 
 
+def test_scores_equal_a_walk_from_node_to_node():
+    rng = np.random.default_rng(8)
+    x = np.round(rng.random((400, 4)), 2)
+    trees = quality.fit(x, (x[:, 0] * x[:, 1] > 0.3).astype(float), np.zeros(4), trees=15)
+    rows = np.vstack([rng.random((300, 4)), x[:50], [[np.inf, -np.inf, 0, 1]]])
+    want = []
+    for row in rows:
+        total = trees.base
+        for node in trees.roots:
+            while trees.left[node] != node:
+                smaller = row[trees.feature[node]] <= trees.threshold[node]
+                node = trees.left[node] if smaller else trees.right[node]
+            total += trees.value[node]
+        want.append(total)
+    assert np.allclose(trees.score(rows), want, atol=1e-12)
+
+
 @pytest.mark.skipif(not SMALL.is_dir(), reason="test tables not present")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

@@ -166,3 +166,24 @@ def test_telling_terms_equal_plain_counts(spark):
             if a >= toxicity.MIN_ROWS and a * len(good) > c * len(bad) and ratio >= toxicity.MIN_RATIO:
                 want.add(term)
     assert want and toxicity.telling_terms(frame) == sorted(want)
+
+
+def test_severities_equal_plain_sums(spark):
+    """Scores term by term, and grades from the definition of the cumulative link."""
+    shares = {b"vile": 0.01, b"\xffnasti": 0.0, b"nasties": 0.0}
+    model = toxicity.Severity({b"vile": 0.9, b"\xffnasti": 0.7, b"nasties": 0.2}, shares,
+                              np.array([1.0, 2.5, 4.0]))
+    texts = ["vile vile words", "Nasties! nastier, nastiest", "clean " * 300 + "vile", "", None,
+             "vile " * 40]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.expected_severity, r.toxic)
+           for r in toxicity.with_severity(frame, model).collect()}
+    for i, text in enumerate(texts):
+        words = [w.strip("!,").lower() for w in (text or "").split()]
+        counts = {b"vile": words.count("vile"), b"nasties": words.count("nasties"),
+                  b"\xffnasti": sum(w.startswith("nasti") and len(w) > 5 for w in words)}
+        score = sum(model.weights[t] * min(8.0, max(0.0, n - len(words) * shares[t]))
+                    for t, n in counts.items() if n)
+        below = [1 / (1 + np.exp(score - t)) for t in model.thresholds]
+        assert got[i][0] == pytest.approx(sum(1 - b for b in below), abs=1e-9)
+        assert got[i][1] == (1 - below[0] >= toxicity.REJECT)
