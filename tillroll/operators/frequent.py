@@ -105,10 +105,14 @@ def most_frequent(df: DataFrame, columns: Sequence[str], top: int, *, nulls: boo
     tracked = max(tracked, 2 * top)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     found = stored(summaries(text, tracked, held), "summaries")
-    rank = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value"))
-    # A column's counters in order: the candidates, and the largest count of the others.
-    placed = found.where(F.col("kind") == _VALUE).withColumn("place", F.row_number().over(rank))
-    chosen = stored(placed.where(F.col("place") <= tracked + 1), "candidates")
+    # A column's counters in order: the candidates, and the largest count of the others.  A
+    # bounded top-k for each column, so no task sorts all counters.
+    order = [F.col("n").desc(), F.col("value")]
+    chosen = stored(reduce(DataFrame.unionByName, [
+        found.where((F.col("column_name") == c) & (F.col("kind") == _VALUE))
+        .orderBy(*order).limit(tracked + 1)
+        .withColumn("place", F.row_number().over(Window.orderBy(*order))) for c in columns]),
+        "candidates")
     errors = {r["column_name"]: r["n"] for r in found.where(F.col("kind") == _ERROR).collect()}
     others = {r["column_name"]: r["n"]
               for r in chosen.where(F.col("place") == tracked + 1).collect()}
@@ -139,6 +143,7 @@ def most_frequent(df: DataFrame, columns: Sequence[str], top: int, *, nulls: boo
                 proven.add(c)
     parts = [_ranked(counts.where(F.col("column_name").isin(sorted(proven))), top)]
     order = [F.col("rows").desc(), F.col("value")]
+    # Counted in full, then a bounded top-k.
     for c in [c for c in columns if c not in proven]:
         full = text.select(c).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
         full = full if nulls else full.where(F.col("value").isNotNull())
