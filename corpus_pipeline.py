@@ -7,13 +7,39 @@ mix is dealt to shards of equal size.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.functions.workspace import stored
+from tillroll.functions.workspace import noted, remove, stored
 from tillroll.llm import decontamination, mixing, sharding, simhash, toxicity
 from tillroll.llm.common import table
 
 
+_left: list[str] = []
+
+
+def _stage(function):
+    """A stage removes the intermediate folders of the one before, whose result is written.
+
+    What ``docs`` reads itself stays, so a result that is not written loses nothing.
+    """
+
+    @wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = "\n".join(docs.inputFiles())
+        gone = [name for name in _left if name.rpartition("/")[2] not in read]
+        remove(spark, gone)
+        _left[:] = [name for name in _left if name not in gone]
+        with noted() as made:
+            result = function(spark, docs, sf_dir)
+        _left.extend(made)
+        return result
+
+    return stage
+
+
+@_stage
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted severity is not rejected (operator 10).
 
@@ -23,6 +49,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each near-duplicate group (operator 1).
 
@@ -32,6 +59,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_of_each(docs)
 
 
+@_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap with no benchmark item (operator 9).
 
@@ -41,6 +69,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them (operator 8).
 
@@ -50,6 +79,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+@_stage
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and slot (operator 6).
 

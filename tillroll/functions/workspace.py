@@ -56,6 +56,27 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Collects the intermediate folders that are made inside; they stay."""
+    made: list[str] = []
+    _scratches.append(made)
+    try:
+        yield made
+    finally:
+        _scratches.pop()
+        # A scratch around it removes what is left of them.
+        if _scratches:
+            _scratches[-1].extend(made)
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Removes folders; one that is gone already is passed over."""
+    for name in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes the intermediate folders that were made inside when it ends.
@@ -68,10 +89,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _scratches.remove(made)
-        for name in made:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _scratches.pop()
+        remove(spark, made)
 
 
 _shipped: set[str] = set()
