@@ -51,3 +51,15 @@ def test_rest_follows_plain_equality(spark):
     sample = spark.createDataFrame([("x", 1), ("y", None)], REST)
     # Both copies of x leave; y stays although it was sampled.
     assert rows_of(sampling.rest_of(df, sample, ["a", "b"])) == [("y", None), ("z", 2)]
+
+
+def test_rest_of_a_small_sample_moves_no_rows(spark):
+    df = spark.range(1000).selectExpr("id", "CAST(id % 7 AS string) AS text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rest = sampling.rest_of(df, df.where("id < 10"), df.columns)
+        plan = rest._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert rest.count() == 990
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
