@@ -219,3 +219,18 @@ def test_delete_and_merge_follow_the_model(spark, target, source):
     table.merge_insert(frame(spark, *source), MERGE_KEYS)
     added = [r for r in source if r[:3] not in known]
     assert rows_of(table.read()) == sorted(kept + added, key=repr)
+
+
+def test_delete_sorts_no_rows(spark, table, monkeypatch):
+    """Marked rows go to files open side by side; the session's setting comes back."""
+    from pyspark.sql import DataFrameWriter
+
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    saved = DataFrameWriter.parquet
+    table.overwrite(frame(spark, *[(str(i), "a", "x", float(i)) for i in range(10)]))
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (
+        seen.append(spark.conf.get(setting)), saved(self, path))[1])
+    assert table.delete_each(["OrderAmount < 2", "OrderAmount < 4"]) == [2, 2]
+    assert seen == ["2"] and spark.conf.get(setting) == before
+    assert [table.read(v).count() for v in range(3)] == [10, 8, 6]
