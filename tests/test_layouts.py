@@ -105,3 +105,21 @@ def test_grouping_and_joining_by_buckets_moves_nothing(spark, bucketed):
             *shares.columns))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_totals_read_a_bucket_in_pieces(spark, fmt):
+    name = f"sales_totals_{fmt}"
+    path = fresh_path(spark, name)
+    rows = sales(spark, 3000).withColumn("Country", F.coalesce(F.nullif("Country", F.lit("")), F.lit("x")))
+    table = writers.save_bucketed(rows.coalesce(1), name, ("Country", "Shopsize"), buckets=1, fmt=fmt, path=path)
+    sums = (F.count(F.lit(1)).alias("lines"), F.sum("OrderAmount").alias("total"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = writers.totals_in_pieces(table, ("Country", "Shopsize"), *sums)
+        assert got.columns == ["Country", "Shopsize", "lines", "total"]
+        assert "Bucketed: true" not in plan_of(got)
+        assert rows_of(got) == rows_of(rows.groupBy("Country", "Shopsize").agg(*sums))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        writers.drop_named(spark, name)

@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.partitions import encoded
@@ -98,6 +98,17 @@ def bucket_rows(spark: SparkSession, name: str, **values) -> DataFrame:
     return table.where(of_bucket).where(reduce(lambda a, b: a & b, same))
 
 
+def totals_in_pieces(table: DataFrame, columns: Sequence[str], *sums: Column) -> DataFrame:
+    """``sums`` for each combination of the bucket columns, from files read in pieces.
+
+    Grouped by the columns themselves a bucket is read by one task, however large it is.  Here the
+    combination is one value, which the buckets are not laid out by: each task folds a piece of a
+    file, and only its sums are moved.
+    """
+    of_pair = table.groupBy(F.struct(*columns).alias("_pair")).agg(*sums)
+    return of_pair.select("_pair.*", *[c for c in of_pair.columns if c != "_pair"])
+
+
 def bucket_contents(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per bucket and per combination of the bucket columns in it.
 
