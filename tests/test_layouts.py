@@ -123,3 +123,21 @@ def test_totals_read_a_bucket_in_pieces(spark, fmt):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         writers.drop_named(spark, name)
+
+
+def test_layouts_are_written_without_sorting(spark, monkeypatch, tmp_path):
+    """Files open side by side while a layout is written; the session's setting comes back."""
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    saved = writers._balanced
+    monkeypatch.setattr(writers, "_balanced", lambda *a: (seen.append(spark.conf.get(setting)), saved(*a))[1])
+    before = spark.conf.get(setting)
+    rows = sales(spark).where("Country <> ''")
+    writers.save_partitioned(rows, "open_partitions", ("Country",), path=str(tmp_path / "p"))
+    writers.save_bucketed(rows, "open_buckets", ("Country", "Shopsize"), path=str(tmp_path / "b"))
+    assert seen == ["16", "16"] and spark.conf.get(setting) == before
+    assert all(rows_of(spark.table(n).select(*rows.columns)) == rows_of(rows)
+               for n in ("open_partitions", "open_buckets"))
+    inside = writers.bucket_contents(spark.table("open_buckets"), ("Country", "Shopsize"))
+    assert inside.agg(F.sum("rows")).first()[0] == rows.count()
+    assert inside.count() == inside.select("Country", "Shopsize").distinct().count()
+    writers.drop_named(spark, "open_partitions", "open_buckets")

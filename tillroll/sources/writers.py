@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.partitions import encoded
+from tillroll.functions.workspace import files_open
+
+# Files a task holds open: a balanced piece has rows of few directories or buckets.
+_OPEN = 16
 
 
 def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -29,9 +33,9 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite",
     Partition text is encoded, so that ``read_layer`` gives back any text.
     """
     if partition_cols:
-        encoded(_balanced(df, partition_cols), partition_cols).write.format(fmt).mode(mode).partitionBy(
-            *partition_cols
-        ).save(path)
+        with files_open(df.sparkSession, _OPEN):
+            encoded(_balanced(df, partition_cols), partition_cols).write.format(fmt).mode(
+                mode).partitionBy(*partition_cols).save(path)
     else:
         df.write.format(fmt).mode(mode).save(path)
 
@@ -46,9 +50,10 @@ def save_named(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "pa
 def save_partitioned(df: DataFrame, name: str, columns: Sequence[str], fmt: str = "parquet",
                      path: str | None = None) -> DataFrame:
     """Catalog table partitioned by ``columns``; kept if it exists already."""
-    _balanced(df, columns).write.format(fmt).mode("ignore").partitionBy(*columns).options(
-        **_location(path)
-    ).saveAsTable(name)
+    with files_open(df.sparkSession, _OPEN):
+        _balanced(df, columns).write.format(fmt).mode("ignore").partitionBy(*columns).options(
+            **_location(path)
+        ).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -59,9 +64,10 @@ def save_bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int
     Grouping by all of these columns, and joining on them with a table of as many buckets, needs
     no exchange; ``bucket_rows`` reads a single bucket.
     """
-    _balanced(df, columns).write.format(fmt).mode("ignore").bucketBy(
-        buckets, *columns
-    ).options(**_location(path)).saveAsTable(name)
+    with files_open(df.sparkSession, _OPEN):
+        _balanced(df, columns).write.format(fmt).mode("ignore").bucketBy(
+            buckets, *columns
+        ).options(**_location(path)).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -112,13 +118,16 @@ def totals_in_pieces(table: DataFrame, columns: Sequence[str], *sums: Column) ->
 def bucket_contents(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per bucket and per combination of the bucket columns in it.
 
-    The bucket number is the one Spark puts into each file's name.
+    The bucket number is the one Spark puts into each file's name.  Rows are counted by file
+    first, so it is taken out of each name once.
     """
-    bucket = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})\.", 1).cast("int")
+    bucket = F.regexp_extract(F.col("_file"), r"_(\d{5})\.", 1).cast("int")
     return (
-        table.select(bucket.alias("bucket"), *columns)
-        .groupBy("bucket", *columns)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        table.select(F.col("_metadata.file_name").alias("_file"), *columns)
+        .groupBy("_file", *columns)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .groupBy(bucket.alias("bucket"), *columns)
+        .agg(F.sum("_rows").alias("rows"))
     )
 
 
