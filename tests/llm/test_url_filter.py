@@ -139,6 +139,38 @@ def test_equals_plain_version(spark, monkeypatch, kept):
     assert kept < 1 << 30 or {w[5] for w in want if w[4] is None} == {"allow", "block"}
 
 
+@pytest.mark.parametrize("sent", [None, 1, 2_000])
+def test_no_sequence_is_left_out(spark, monkeypatch, sent):
+    """More symbols than were once kept, and most of the sequences joined instead of broadcast."""
+    rows = rows_of() + [(2000 + i, f"http://n{i % 7}.site.io/es/{i % 5}") for i in range(40)]
+    assert sum(len(u) for _, u in rows if u) > 131_072
+    if sent:
+        monkeypatch.setattr(url_filter, "SENT", sent, raising=False)
+        monkeypatch.setattr(url_filter, "_PIECE", 4096)
+    got = url_filter.with_verdict(frame_of(spark, rows).select("page_id", "url").repartition(3))
+    want = sorted(((i, u, *w) for (i, u), w in zip(rows, plain(rows, 1 << 30))), key=repr)
+    found = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert [f[:6] for f in found] == [w[:6] for w in want]
+    for f, w in zip(found, want):
+        assert f[6] == (None if w[6] is None else pytest.approx(w[6], abs=1e-9))
+
+
+def test_rare_sequences_are_rows(spark, monkeypatch):
+    """What is broadcast stays bounded; together with the rows nothing is missing."""
+    rows = frame_of(spark, rows_of()).selectExpr(
+        "CAST(coalesce(url, '') AS binary) AS data", "CAST(coalesce(page_id, 0) % 5 AS int) AS kind")
+    whole = url_filter.models(rows)
+    assert whole.rest.count() == 0
+    monkeypatch.setattr(url_filter, "SENT", 50)
+    some = url_filter.models(rows)
+    assert 0 < len(some.codes) <= 6 * 50 + 1
+    counts = {int(c): tuple(map(int, n)) for c, n in zip(some.codes, some.counts)}
+    rest = {r[0]: tuple(r[1:]) for r in some.rest.collect()}
+    assert rest and not rest.keys() & counts.keys()
+    assert {c: n for c, n in {**counts, **rest}.items() if any(n)} == {
+        int(c): tuple(map(int, n)) for c, n in zip(whole.codes, whole.counts) if any(n)}
+
+
 def test_longest_rule_wins(spark):
     rules = [("block", "net", "/"), ("allow", "a.net", "/"), ("block", "a.net", "/x"),
              ("allow", "net", "/x/yy"), ("allow", "b.a.net", "/")]
